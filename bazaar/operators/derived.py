@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_ALL = Window.partitionBy()  # whole-table window; inputs here are one row per group
+def _all():
+    return Window.partitionBy()  # whole-table window; only used on aggregated tables
 
 
 def _argmax(key: str, value: str):
@@ -83,8 +84,8 @@ def tier_shares(tier: DataFrame) -> DataFrame:
     """D3 / A10: each tier's share of revenue and of customers."""
     return tier.select(
         "customer_tier",
-        (F.col("revenue_m") / F.sum("revenue_m").over(_ALL) * 100).alias("revenue_share_pct"),
-        (F.col("customers") / F.sum("customers").over(_ALL) * 100).alias("customer_share_pct"),
+        (F.col("revenue_m") / F.sum("revenue_m").over(_all()) * 100).alias("revenue_share_pct"),
+        (F.col("customers") / F.sum("customers").over(_all()) * 100).alias("customer_share_pct"),
     )
 
 
@@ -95,11 +96,11 @@ def revenue_retention(disc: DataFrame) -> DataFrame:
     return disc.select(
         "order_year",
         (F.col("net_rev") / F.col("gross_rev") * 100).alias("net_margin_pct"),
-        (F.sum("gross_rev").over(_ALL) / 1e9).alias("total_gross_bn"),
-        (F.sum("net_rev").over(_ALL) / 1e9).alias("total_net_bn"),
-        (F.sum("discount_given").over(_ALL) / 1e9).alias("total_discount_bn"),
-        (F.sum("net_rev").over(_ALL) / F.sum("gross_rev").over(_ALL) * 100).alias("avg_retention_pct"),
-        (F.sum("discount_given").over(_ALL) / F.sum("gross_rev").over(_ALL) * 100).alias("discount_pct_of_gross"),
+        (F.sum("gross_rev").over(_all()) / 1e9).alias("total_gross_bn"),
+        (F.sum("net_rev").over(_all()) / 1e9).alias("total_net_bn"),
+        (F.sum("discount_given").over(_all()) / 1e9).alias("total_discount_bn"),
+        (F.sum("net_rev").over(_all()) / F.sum("gross_rev").over(_all()) * 100).alias("avg_retention_pct"),
+        (F.sum("discount_given").over(_all()) / F.sum("gross_rev").over(_all()) * 100).alias("discount_pct_of_gross"),
     )
 
 
@@ -233,7 +234,7 @@ def frequency_bands(freq: DataFrame) -> DataFrame:
     j = bands.join(got, "bucket", "left").select("bucket", "band_order",
                                                 F.coalesce("customers", F.lit(0)).cast("bigint").alias("customers"))
     return j.select("bucket", "band_order", "customers",
-                    (F.col("customers") / F.sum("customers").over(_ALL) * 100).alias("pct"))
+                    (F.col("customers") / F.sum("customers").over(_all()) * 100).alias("pct"))
 
 
 def frequency_summary(freq: DataFrame) -> DataFrame:
@@ -260,7 +261,7 @@ def top_transitions(trans: DataFrame, k: int = 8) -> DataFrame:
 
 def scorecard_flags(score: DataFrame) -> DataFrame:
     """Below-median revenue, rating < 3.5, return rate > 10 flags per subcategory."""
-    med = F.percentile("revenue_m", F.lit(0.5)).over(_ALL)
+    med = F.percentile("revenue_m", F.lit(0.5)).over(_all())
     return score.select(
         "subcategory",
         (F.col("revenue_m") < med).alias("below_median_revenue"),

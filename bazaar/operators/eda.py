@@ -20,7 +20,8 @@ from ..functions.stats import box_stats, cut, equal_width_bin, quantiles
 
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 AGE_ORDER = ["18-25", "26-35", "36-45", "46-55", "55+"]
-_ALL = Window.partitionBy()
+def _all():
+    return Window.partitionBy()  # whole-table window; only used on aggregated tables
 
 
 def _years(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
@@ -63,7 +64,7 @@ def _qcut_or_rank(df: DataFrame, value: str, key: str, out: str, ascending: bool
     for i in range(q, 0, -1):
         lo_ok = (F.col(value) >= e[i - 1]) if i == 1 else (F.col(value) > e[i - 1])
         qbin = F.when(lo_ok & (F.col(value) <= e[i]), F.lit(i)).otherwise(qbin)
-    n = F.count(F.lit(1)).over(_ALL)
+    n = F.count(F.lit(1)).over(_all())
     r = F.row_number().over(Window.orderBy(value, key))
     width = (n - 1) / q
     rbin = F.when(n == 1, F.lit(1)).otherwise(F.least(F.greatest(F.ceil((r - 1) / width), F.lit(1)), F.lit(q)))
@@ -77,7 +78,7 @@ def rfm_eda_segments(fact: DataFrame) -> DataFrame:
     c = fact.groupBy("customer_id").agg(
         F.max(F.col("order_year") * 100 + F.col("order_month")).alias("lp"),
         F.count(F.lit(1)).alias("freq"), dsum("final_amount_inr").alias("mon"))
-    c = c.withColumn("recency", F.max("lp").over(_ALL) - F.col("lp"))
+    c = c.withColumn("recency", F.max("lp").over(_all()) - F.col("lp"))
     c = _qcut_or_rank(c, "recency", "customer_id", "r_s", ascending=False)
     c = _qcut_or_rank(c, "freq", "customer_id", "f_s", ascending=True)
     c = _qcut_or_rank(c, "mon", "customer_id", "m_s", ascending=True)
@@ -99,7 +100,7 @@ def subcategory_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
     s = by_p.join(products.select("product_id", "subcategory"), "product_id").groupBy("subcategory").agg(
         F.sum("_r").alias("_r"))
     return s.select("subcategory", (F.col("_r").cast("double") / 1e9).alias("rev"),
-                    (F.col("_r").cast("double") / F.sum("_r").over(_ALL).cast("double") * 100).alias("share_pct"))
+                    (F.col("_r").cast("double") / F.sum("_r").over(_all()).cast("double") * 100).alias("share_pct"))
 
 
 def subcategory_yearly_growth(fact: DataFrame, products: DataFrame, first_year: int, last_year: int) -> DataFrame:
@@ -266,8 +267,8 @@ def pareto(fact: DataFrame, share: float = 80.0) -> DataFrame:
     p = fact.groupBy("product_id").agg(F.sum("final_amount_inr").alias("rev"))
     w = Window.orderBy(F.desc("rev"), "product_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c = p.select(
-        (F.sum("rev").over(w).cast("double") / F.sum("rev").over(_ALL).cast("double") * 100).alias("cum"),
-        (F.row_number().over(Window.orderBy(F.desc("rev"), "product_id")) / F.count(F.lit(1)).over(_ALL) * 100)
+        (F.sum("rev").over(w).cast("double") / F.sum("rev").over(_all()).cast("double") * 100).alias("cum"),
+        (F.row_number().over(Window.orderBy(F.desc("rev"), "product_id")) / F.count(F.lit(1)).over(_all()) * 100)
         .alias("pp"))
     return c.agg(F.coalesce(F.max(F.when(F.col("cum") <= share, F.col("pp"))), F.lit(100.0)).alias("top_pct_products"),
                  F.count(F.lit(1)).alias("products"))
