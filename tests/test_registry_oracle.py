@@ -12,10 +12,11 @@ ORACLE = E.oracle_sql()
 
 
 def _norm(v):
-    if v is None:
+    import pandas as pd
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.9g}")
+        return None if math.isnan(v) else float(f"{v:.9g}")
     if hasattr(v, "item"):
         return _norm(v.item())
     if hasattr(v, "tolist"):
