@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 # registry modules, each exposing SPARK (and optionally ORACLE) dicts
-_MODULES = ["named", "derived_q", "eda_q", "etl_q", "features_q", "baskets_q", "experiments_q", "streaming_q"]
+_MODULES = ["named", "derived_q", "eda_q", "etl_q", "features_q", "baskets_q", "experiments_q", "streaming_q", "models_q"]
 
 
 def _load():
