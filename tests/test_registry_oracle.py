@@ -17,10 +17,11 @@ def _norm(v):
         return None
     if isinstance(v, float):
         return None if math.isnan(v) else float(f"{v:.9g}")
+    import numpy as np
+    if isinstance(v, np.ndarray):
+        return tuple(_norm(x) for x in v.tolist())
     if hasattr(v, "item"):
         return _norm(v.item())
-    if hasattr(v, "tolist"):
-        return tuple(_norm(x) for x in v.tolist())
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     return v
