@@ -9,8 +9,8 @@ A posting list of a single term would hold 1/256 of all fingerprints, so the tal
 terms at once: a pair reaches the guaranteed count just if it meets in the list of some ``8 - max_bits`` positions.
 Members of a list agree in all but ``max_bits`` bytes, so a list of distinct fingerprints is bounded by
 ``256 ** max_bits`` whatever the corpus is; copies meet once, as one fingerprint.  In each list the retained pairs
-are verified by their bits, in a list too long for pairs by looking up each member's neighbours, and a spanning
-forest of the verified links is passed on: as many rows as members at most, and no link is lost for reachability.
+are verified by their bits, in a list too long for pairs by looking up each member's neighbours, and each
+member is passed on with the least one that verified links reach: as many rows as members at most, none lost.
 Components are found by distributed star contraction.
 
 Defined results: null, empty or blank text has fingerprint zero and is linked like any other; rows without doc_id
@@ -69,7 +69,7 @@ def fingerprints(text: F.Column, shingle: int) -> F.Column:
 
 
 def _forest(members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Spanning forest (child, parent) of the links within one posting list of distinct fingerprints."""
+    """Components of the links within one posting list of distinct fingerprints: each member with their least."""
     members = np.sort(members.view(np.uint64))
     parent = list(range(len(members)))
 
@@ -93,15 +93,13 @@ def _forest(members: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
             at = np.minimum(np.searchsorted(members, other), len(members) - 1)
             hit = np.flatnonzero((members[at] == other) & (other > members))
             pairs.append((hit, at[hit]))
-    out = []
     for a, b in pairs:
         for i, j in zip(a.tolist(), b.tolist(), strict=True):
             x, y = root(i), root(j)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-                out.append((i, j))
     signed = members.view(np.int64)
-    return [(int(signed[i]), int(signed[j])) for i, j in out]
+    return [(int(signed[i]), int(signed[root(i)])) for i in range(len(members)) if root(i) != i]
 
 
 def links(distinct: DataFrame, max_bits: int) -> DataFrame:
@@ -126,27 +124,27 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
             found = [e for m in batch["members"] for e in _forest(np.asarray(m, np.int64), max_bits)]
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return lists.mapInPandas(verify, empty).distinct()
+    return lists.mapInPandas(verify, empty)
 
 
-def classes(prints: DataFrame, max_bits: int) -> DataFrame:
-    """``prints(id, fp, ...)`` -> ``(fp, root)``: the class of every distinct fingerprint, named by its least member."""
-    distinct = cut(prints.select("fp").distinct())
-    roots = cut(components(links(distinct, max_bits)))
-    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        distinct["fp"], F.coalesce(roots["root"], distinct["fp"]).alias("root")
-    )
+def classes(prints: DataFrame, max_bits: int, least: F.Column) -> DataFrame:
+    """``prints(fp, ...)`` -> ``(fp, first)``: of every distinct fingerprint, the least value of its whole class."""
+    spark = prints.sparkSession
+    # fingerprints are few bytes, so adaptive execution would leave the wide step below to a few tasks
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = cut(prints.groupBy("fp").agg(F.min(least).alias("own")).repartition(spread))
+    roots = cut(components(links(own.select("fp"), max_bits)))
+    linked = cut(own.join(roots, own["fp"] == roots["node"]).select("fp", "root", "own"))
+    of_root = linked.groupBy("root").agg(F.min("own").alias("first"))
+    shared = linked.join(of_root, "root").select("fp", "first")
+    return cut(own.join(shared, "fp", "left").select("fp", F.coalesce("first", "own").alias("first")))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable)."""
     prints = cut(docs.select(docs["doc_id"], fingerprints(docs["text"], shingle).alias("fp")))
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    by_print = cut(classes(prints, max_bits).join(least, "fp"))
-    by_root = cut(by_print.groupBy("root").agg(F.min("least").alias("component_id")))
-    ids = cut(by_print.join(by_root, "root").select("fp", "component_id"))
-    return prints.join(ids, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    return prints.join(classes(prints, max_bits, F.col("doc_id")), "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first").alias("component_id")
     )
 
 
@@ -159,7 +157,5 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFra
     )
     key = ["_none", "_id", "_hash"]
     prints = cut(rows.select(*key, fingerprints(F.col("text"), shingle).alias("fp")))
-    roots = cut(classes(prints, max_bits))
-    least = cut(prints.groupBy("fp").agg(F.min(F.struct(*key)).alias("least")))
-    stay = roots.join(least, "fp").groupBy("root").agg(F.min("least").alias("k")).select("k.*")
-    return unpacked(rows.drop("text").join(cut(stay), key, "left_semi").dropDuplicates(key))
+    stay = classes(prints, max_bits, F.struct(*key)).select("first.*").distinct()
+    return unpacked(rows.drop("text").join(stay, key, "left_semi").dropDuplicates(key))
