@@ -6,15 +6,62 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.llm import simhash_near
+from bazaar.llm import (
+    host_rules,
+    language_id,
+    pieces,
+    private_data,
+    resharding,
+    secret_scan,
+    simhash_near,
+    simhash_search,
+)
 from bazaar.llm.common import documents
 
 
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
+def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.verdicts(documents(spark, sf_dir))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.scan(documents(spark, sf_dir))
+
+
+def op7_min_cost_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.reshard(documents(spark, sf_dir), old_shards=24, new_shards=24)
+
+
+def op8_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.tokens(documents(spark, sf_dir), TOKENIZER, kind="bpe")
+
+
+def op9_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_search.fingerprints(documents(spark, sf_dir))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op4_host_quality_rules": op4_host_quality_rules,
+    "op5_language_id": op5_language_id,
+    "op6_personal_data": op6_personal_data,
+    "op7_min_cost_resharding": op7_min_cost_resharding,
+    "op8_piece_encoding": op8_piece_encoding,
+    "op9_simhash_fingerprints": op9_simhash_fingerprints,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
