@@ -21,20 +21,24 @@ from __future__ import annotations
 
 import heapq
 import re
+import string
 from array import array
+from collections.abc import Iterator
 from functools import cache
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-CACHE = 300_000  # units kept by a worker in each of two generations
+CACHE = 200_000  # units kept by a worker in each of two generations
 LONG_UNIT = 64  # longer units are encoded but not kept
+SLICE = 256  # rows put together at a time
 
 
 class Pieces:
@@ -64,12 +68,17 @@ class Pieces:
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        joined = "\n\n".join(self.ids)
-        crossing = re.search(f"[^{MARK}\n]{MARK}", joined)
-        breaks = "".join(c for c in "\n\t" if not any(c in p for p in self.ids))
-        self.units = re.compile(f"[{breaks}]|{MARK}*[^{MARK}{breaks}]+|{MARK}+" if breaks else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.whole = crossing is not None
-        self.admitted: dict[int, bool] = {}
+        # where units may be cut: white space that no piece holds, a space mark after anything but itself, and a symbol
+        # after a character that comes before no symbol in any piece
+        pairs = {(x, y) for p in self.ids for x, y in zip(p, p[1:], strict=False)}
+        self.whole = any(y == MARK != x for x, y in pairs)
+        blanks = "".join(c for c in "\n\t" if not any(c in p for p in self.ids))
+        symbols = {c for c in string.punctuation}
+        others = symbols | {x for x, y in pairs if y in symbols} - {MARK}
+        end, s, o = MARK + blanks, re.escape("".join(sorted(symbols))), re.escape("".join(sorted(others)))
+        blank = f"[{blanks}]|" if blanks else ""
+        self.units = re.compile(f"{blank}{MARK}*[^{end}{o}]+(?=[{s}{end}]|$)|{MARK}*[^{end}]+|{MARK}+")
+        self.admitted: dict[int, dict[int, bool]] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.prefix = MARK if sp.encode("a", out_type=str)[0].startswith(MARK) else ""
@@ -110,11 +119,7 @@ class Pieces:
     def admits(self, last: int, piece: int) -> bool:
         """Whether the merges leave ``last`` followed by ``piece`` as they are (last -1: the path begins here)."""
         want = [piece] if last < 0 else [last, piece]
-        known = self.merged("".join(self.text[i] for i in want)) == want
-        if len(self.admitted) >= 8 * CACHE:
-            self.admitted.clear()
-        self.admitted[(last + 1 << 32) + piece] = known
-        return known
+        return self.merged("".join(self.text[i] for i in want)) == want
 
     def viterbi(self, unit: str) -> list[int]:
         n = len(unit)
@@ -131,7 +136,8 @@ class Pieces:
                     last[e], start[e], best[e] = -1, e - 1, best[e - 1]
             return upto
 
-        bpe, known, score = self.bpe, self.admitted.get, self.score
+        bpe, score, admitted = self.bpe, self.score, self.admitted
+        after: list[dict[int, bool]] = [admitted.setdefault(-1, {})] * (n + 1)  # pieces known to follow the best path
         for end, (piece, size) in self.automaton.iter(unit):
             if filled < end:
                 filled = bridge(end)
@@ -139,9 +145,11 @@ class Pieces:
             s = e - size
             if bpe:
                 if last[e] == -2:
-                    ok = known((last[s] + 1 << 32) + piece)
-                    if self.admits(last[s], piece) if ok is None else ok:
-                        last[e], start[e] = piece, s
+                    ok = after[s].get(piece)
+                    if ok is None:
+                        ok = after[s][piece] = self.admits(last[s], piece)
+                    if ok:
+                        last[e], start[e], after[e] = piece, s, admitted.setdefault(piece, {})
             elif last[e] == -2 or best[s] + score[piece] > best[e]:
                 last[e], start[e], best[e] = piece, s, best[s] + score[piece]
         bridge(n)
@@ -158,7 +166,7 @@ class Pieces:
 
     def unit_ids(self, unit: str) -> bytes:
         """Ids of a unit as the bytes of 32-bit numbers; units met again are kept longest."""
-        known = self.old.get(unit)
+        known = self.young.get(unit) or self.old.get(unit)
         if known is None:
             run = self.bpe and unit.startswith(MARK * 2)
             known = array("i", self.merged(unit) if run else self.viterbi(unit)).tobytes()
@@ -176,8 +184,11 @@ class Pieces:
             if i:
                 out.append(array("i", self.as_bytes(MARK)).tobytes())
             spaced = ("" if i else self.prefix) + part.replace(" ", MARK)
-            for unit in ([spaced] if spaced else []) if self.whole else self.units.findall(spaced):
-                out.append(self.young.get(unit) or self.unit_ids(unit))
+            units = ([spaced] if spaced else []) if self.whole else self.units.findall(spaced)
+            known = list(map(self.young.get, units))
+            if None in known:
+                known = [k or self.unit_ids(u) for k, u in zip(known, units, strict=True)]
+            out.extend(known)
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids) -> str:
@@ -196,17 +207,28 @@ def load(path: str) -> bytes:
         return f.read()
 
 
-def encoded(text: Column, model: bytes, kind: str) -> Column:
-    """Struct (ids, exact): the ids of a text and whether decoding gives it back."""
+def encoded(rows: DataFrame, model: bytes, kind: str) -> DataFrame:
+    """``rows(..., text)`` with ``_ids`` and ``_exact`` (whether decoding gives the text back) beside all columns.
 
-    @F.pandas_udf("ids array<int>, exact boolean")
-    def udf(texts: pd.Series) -> pd.DataFrame:
-        p = _pieces(model, kind)
-        ids = [None if t is None else p.encode(t) for t in texts]
-        exact = [None if t is None else p.decode(i.tolist()) == t for t, i in zip(texts, ids, strict=True)]
-        return pd.DataFrame({"ids": ids, "exact": pd.Series(exact, dtype=object)})
+    Ids are put together in Arrow buffers, ``SLICE`` rows at a time.
+    """
 
-    return udf(text)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = _pieces(model, kind)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                texts = part.column("text").to_pylist()
+                found = [p.encode(t or "") for t in texts]
+                exact = pa.array([None if t is None else p.decode(i.tolist()) == t for t, i in zip(texts, found, strict=True)], pa.bool_())
+                ends = np.cumsum([len(i) for i in found])
+                null = np.array([t is None for t in texts] + [False])
+                offsets = pa.array(np.append(0, ends).astype(np.int32), mask=null)
+                ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([*part.columns, ids, exact], names=[*part.schema.names, "_ids", "_exact"])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField("_ids", T.ArrayType(T.IntegerType())), T.StructField("_exact", T.BooleanType())])
+    return rows.mapInArrow(encode, schema)
 
 
 def decoded(ids: Column, model: bytes, kind: str) -> Column:
@@ -220,10 +242,11 @@ def decoded(ids: Column, model: bytes, kind: str) -> Column:
     return udf(ids)
 
 
+def _counted() -> Column:
+    return F.when(F.col("_ids").isNull(), 0).otherwise(F.size("_ids")).cast("long")
+
+
 def tokens(docs: DataFrame, model_path: str, kind: str = "bpe") -> DataFrame:
     """One row per document: doc_id, n_tokens, ids, round_trip."""
-    got = docs.select(docs["doc_id"], encoded(docs["text"], load(model_path), kind).alias("e"))
-    return got.select(
-        "doc_id", F.when(F.col("e.ids").isNull(), 0).otherwise(F.size("e.ids")).cast("long").alias("n_tokens"),
-        F.col("e.ids").alias("ids"), F.col("e.exact").alias("round_trip"),
-    )
+    got = encoded(docs.select(docs["doc_id"], docs["text"]), load(model_path), kind)
+    return got.select("doc_id", _counted().alias("n_tokens"), F.col("_ids").alias("ids"), F.col("_exact").alias("round_trip"))

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaar.llm import (
     host_rules,
     language_id,
+    mixing,
     pieces,
     private_data,
     resharding,
     secret_scan,
     simhash_near,
     simhash_search,
+    substring_dedup,
 )
 from bazaar.llm.common import documents
 
@@ -26,6 +28,15 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir))
 
 
+def op2_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.mix(documents(spark, sf_dir), labels, {"good": 0.8, "low": 0.15, "toxic": 0.05})
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(documents(spark, sf_dir), window=35)
+
+
 def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.verdicts(documents(spark, sf_dir))
 
@@ -56,6 +67,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_mixing_weights": op2_mixing_weights,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_host_quality_rules": op4_host_quality_rules,
     "op5_language_id": op5_language_id,
     "op6_personal_data": op6_personal_data,

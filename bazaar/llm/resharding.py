@@ -2,7 +2,7 @@
 the fewest bytes, then a rewrite of the affected files only.
 
 Sizes are UTF-8 bytes of the text plus 8.  Old placement: given, or by a hash of doc_id.  Each old shard is cut into
-blocks (by hash); block sizes give prefix sums of bytes over a shard in two levels, so no shard is ever sorted in one
+blocks (by size class, large ones first, and hash); block sizes give prefix sums of bytes over a shard in two levels, so no shard is ever sorted in one
 task.  The flow runs between shards (a graph of a fixed size: old shards x new shards); a shard keeps the front of its
 byte range and its transfers are the slices after it, so a document moves just if its range lies in a sent slice.
 
@@ -86,8 +86,10 @@ def by_hash(doc_id: Column, text: Column, shards: int) -> Column:
 
 def plan(rows: DataFrame, old_shards: int, new_shards: int, blocks: int) -> DataFrame:
     """``rows(old, key, size, ...)`` -> the same rows with ``shard`` and ``slot``."""
-    rows = cut(rows.withColumn("block", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks)).cast("int")))
-    # at most old_shards * blocks rows, a fixed number
+    # large documents first: what is sent lies at the end, so the slices end between small documents
+    spread = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(blocks))
+    rows = cut(rows.withColumn("block", ((64 - F.floor(F.log2("size"))) * blocks + spread).cast("int")))
+    # at most old_shards * 64 * blocks rows, a fixed number
     per_block = cut(rows.groupBy("old", "block").agg(F.sum("size").alias("bytes")))
     sizes = {r["old"]: r["bytes"] for r in per_block.groupBy("old").agg(F.sum("bytes").alias("bytes")).collect()}
     supply = [int(sizes.get(i, 0)) for i in range(old_shards)]
