@@ -47,6 +47,8 @@ def unpacked(df: DataFrame) -> DataFrame:
 
 def with_text(df: DataFrame, docs_columns: list[str], text: Column) -> DataFrame:
     """Packed rows given back with another text; n_chars follows where the table has it."""
+    # a step of its own: beside an alias "text", a lambda would take the alias for the column
+    df, text = df.withColumn("_clean", text), F.col("_clean")
     out = []
     for c in docs_columns:
         if c == "text":

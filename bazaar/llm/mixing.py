@@ -4,27 +4,28 @@ A classifier fitted on the labelled table gives every document a posterior over
 several domains in part.  Nonnegative document rates are then fitted by projected-gradient least squares such that the
 expected tokens of each domain, the sum of rate x tokens x posterior, match the targets.
 
-Classifier: words hashed to ``BUCKETS``; of each bucket and domain the log ratio of the count to what the whole
-labelled text lets expect, both shrunk by ``SHRINK``, summed over a document's words.  It is fitted on at most about
-``SAMPLE`` labelled documents; its table has BUCKETS rows, so it may be broadcast.  A quarter of them is kept out of
-the table, and the temperature of the posteriors is the one of ``TEMPERATURES`` with the least log loss on these.
+Classifier: multinomial logistic regression with an elastic-net penalty over hashed words (present or not) and marks
+of unusual text; it is fitted on at most about ``SAMPLE`` labelled documents.  Scoring is part of a scan.
 
 Rates: the gradient of a document depends on it only by its posterior and on the corpus by one residual per domain.
 So a step is one aggregate over (tokens, posterior), and a document's rate is the replay of the residuals so far: no
-table of rates is kept between steps.  Residuals are taken relative to each domain's tokens, which bounds the step by
-1, and the loop ends when no residual changes.
+table of rates is kept between steps, and nothing is shuffled but one row of sums a task.  Residuals are taken relative
+to each domain's tokens, which bounds the step by 1, and the loop ends when no residual changes.
 
-All steps are DataFrame operations.
+All steps are DataFrame operations of the JVM.
 
-Defined results: null, empty or blank text has 0 tokens, the prior as its posterior, and takes part; rows equal in
-doc_id and text are one document with ``copies``; null doc_ids are kept; a domain without a target has target 0; an
-empty table or no labelled row gives an empty result; other columns are ignored.
+Defined results: null, empty or blank text has 0 tokens, the classifier's intercepts as its posterior, and takes part;
+null doc_ids are kept and repeated rows give one output row each; a domain without a target has target 0; labelled
+rows without quality and toxic are ignored, of several labels of a doc_id the first domain by name counts; with one
+domain only everything belongs to it; an empty table or no labelled document gives an empty result (and a mixture of
+the rows as they are); other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
-
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,102 +33,70 @@ from bazaar.llm.common import ROW, WORD_BREAKS, cut, packed, stored, unpacked
 
 BUCKETS = 1 << 16
 SAMPLE = 50_000
-SHRINK = 2.0
-TEMPERATURES = (1.0, 0.5, 0.25, 0.1, 0.05, 0.02)
+PENALTY, SPARSE = 0.002, 0.9  # strength of the penalty, and the part of it on absolute weights
 STEPS, SETTLED = 60, 1e-7
-KEY = ["_none", "_id", "_hash"]
 
 #: Domain of a labelled row.
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' WHEN quality = 1 THEN 'good' END"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    doc_id = docs["doc_id"].cast("long")
-    return docs.select(
-        doc_id.isNull().alias("_none"), F.coalesce(doc_id, F.lit(0)).alias("_id"), F.xxhash64(docs["text"]).alias("_hash"),
-        F.coalesce(docs["text"], F.lit("")).alias("_text"),
-    )
-
-
 def _words(text: Column) -> Column:
     """Words in lower case, without full stops and commas."""
     return F.array_remove(F.split(F.lower(F.translate(text, ".,", "")), WORD_BREAKS, -1), "")
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
+def _terms(text: Column) -> Column:
+    """What the classifier sees: the words, and marks of text with many symbols or capitals."""
+    n = F.length(text)
+    symbols = n - F.length(F.translate(text, "#*$%&|<>!", ""))
+    capitals = n - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    marks = F.array(F.when(20 * symbols > n, F.lit("\x00symbols")), F.when(3 * capitals > n, F.lit("\x00capitals")))
+    return F.concat(F.col("_words"), F.array_compact(marks))
 
 
 class Classifier:
-    """Domains with their priors, the table (bucket, w0, w1, ...) in their order, and the temperature."""
-
-    def __init__(self, prior: dict[str, float], table: DataFrame):
-        self.prior, self.table, self.temperature = prior, table, 1.0
-
-    def sums(self, keyed: DataFrame, *more: str) -> DataFrame:
-        """KEY, ``more`` -> copies, tokens and the summed log ratios ``s`` of each document."""
-        by = [*KEY, *more]
-        each = keyed.select(*by, F.posexplode_outer(_words(F.col("_text"))).alias("at", "word"))
-        each = each.select(*by, F.coalesce("at", F.lit(0)).alias("at"), _bucket(F.col("word")).alias("bucket"), F.col("word").isNotNull().alias("real"))
-        scored = each.join(F.broadcast(self.table), "bucket", "left").groupBy(*by).agg(
-            F.sum(F.when(F.col("at") == 0, 1).otherwise(0)).alias("copies"), F.sum(F.col("real").cast("long")).alias("tokens"),
-            *[F.sum(F.when(F.col("real"), F.col(f"w{i}"))).alias(f"s{i}") for i in range(len(self.prior))],
-        )
-        ratios = F.array(*[F.coalesce(F.col(f"s{i}") / F.col("copies"), F.lit(0.0)) for i in range(len(self.prior))])
-        return scored.select(*by, "copies", (F.col("tokens") / F.col("copies")).cast("long").alias("tokens"), ratios.alias("s"))
-
-    def logs(self, temperature: float) -> Column:
-        """Log posteriors up to a constant."""
-        priors = F.array(*[F.lit(math.log(p)) for p in self.prior.values()])
-        return F.zip_with("s", priors, lambda x, p: x * temperature + p)
-
-    def posteriors(self, docs: DataFrame) -> DataFrame:
-        """KEY, copies, tokens, p: the array of posteriors in the order of the domains."""
-        rows = self.sums(_keyed(docs)).withColumn("l", self.logs(self.temperature))
-        rows = rows.withColumn("e", F.transform("l", lambda x: F.exp(x - F.array_max("l"))))
-        whole = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-        return rows.select(*KEY, "copies", "tokens", F.transform("e", lambda x: x / whole).alias("p"))
+    """Posteriors over ``domains`` of a text column."""
+
+    def __init__(self, domains: list[str], model):
+        self.domains, self.model = domains, model
+        self.hashing = HashingTF(inputCol="_terms", outputCol="_x", numFeatures=BUCKETS, binary=True)
+
+    def features(self, rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("_words", _words(F.col("_text"))).withColumn("_tokens", F.size("_words").cast("long"))
+        return self.hashing.transform(rows.withColumn("_terms", _terms(F.col("_text"))))
+
+    def posteriors(self, rows: DataFrame) -> DataFrame:
+        """``rows(_text, ...)`` with ``_tokens`` and ``_p``, the posteriors in the order of the domains."""
+        names = rows.columns
+        seen = self.features(rows)
+        if self.model is None:
+            return seen.select(*names, "_tokens", F.array(F.lit(1.0)).alias("_p"))
+        return self.model.transform(seen).select(*names, "_tokens", vector_to_array("_probability").alias("_p"))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(docs["doc_id"], F.xxhash64(docs["text"]).alias("_hash"), F.coalesce(docs["text"], F.lit("")).alias("_text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
-    """The classifier of a labelled table (doc_id, quality, toxic); None where no labelled row has words."""
-    known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.expr(DOMAIN).alias("domain")).dropna()
+    """The classifier of a labelled table (doc_id, quality, toxic); None where no document is labelled."""
+    known = labels.select(F.col("doc_id"), F.expr(DOMAIN).alias("domain")).dropna()
     n = known.count()
-    part = F.pmod(F.xxhash64(F.lit("mixing"), "_id"), F.lit(1_000_000))
-    known = known.where(part < round(min(1.0, SAMPLE / max(n, 1)) * 1_000_000)).groupBy("_id").agg(F.min("domain").alias("domain"))
-    known = known.withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "_id"), F.lit(4)) == 0)
-    rows = stored(_keyed(docs).where("NOT _none").join(F.broadcast(known), "_id"))  # at most about SAMPLE documents
-    counts = cut(
-        rows.where("NOT held").select("domain", F.explode(_words(F.col("_text"))).alias("word"))
-        .groupBy("domain", _bucket(F.col("word")).alias("bucket")).agg(F.count("*").alias("n"))
-    )
-    tokens = {r["domain"]: r["n"] for r in counts.groupBy("domain").agg(F.sum("n").alias("n")).collect()}
-    docs_of = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    domains = sorted(tokens)
+    part = F.pmod(F.xxhash64(F.lit("mixing"), "doc_id"), F.lit(1_000_000))
+    known = known.where(part < round(min(1.0, SAMPLE / max(n, 1)) * 1_000_000)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    rows = stored(_rows(docs).join(F.broadcast(known), "doc_id"))  # at most about SAMPLE labels
+    domains = sorted(r["domain"] for r in rows.select("domain").distinct().collect())
     if not domains:
         return None
-    total = float(sum(tokens.values()))
-    wide = counts.groupBy("bucket").agg(
-        F.sum("n").alias("all"), *[F.sum(F.when(F.col("domain") == d, F.col("n")).otherwise(0)).alias(f"n{i}") for i, d in enumerate(domains)]
+    blank = Classifier(domains, None)
+    if len(domains) == 1:
+        return blank
+    label = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("double") - 1
+    lr = LogisticRegression(
+        featuresCol="_x", labelCol="_label", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_best",
+        family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE, maxIter=60, standardization=False,
     )
-    ratios = [
-        F.log((F.col(f"n{i}") + SHRINK) / (F.col("all") * (tokens[d] / total) + SHRINK)).alias(f"w{i}") for i, d in enumerate(domains)
-    ]
-    prior = {d: docs_of[d] / sum(docs_of[x] for x in domains) for d in domains}
-    model = Classifier(prior, cut(wide.select("bucket", *ratios)))
-    held = model.sums(rows.where("held"), "domain").where(F.col("domain").isin(domains))
-    right = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("int")
-
-    def loss(t: float) -> Column:
-        logs = model.logs(t)
-        top = F.array_max(logs)
-        whole = F.aggregate(logs, F.lit(0.0), lambda a, x: a + F.exp(x - top))
-        return F.avg(top + F.log(whole) - F.element_at(logs, right))
-
-    losses = held.agg(*[loss(t).alias(str(i)) for i, t in enumerate(TEMPERATURES)]).first()
-    if losses[0] is not None:
-        model.temperature = TEMPERATURES[min(range(len(TEMPERATURES)), key=lambda i: losses[i])]
-    return model
+    return Classifier(domains, lr.fit(blank.features(rows).select("_x", label.alias("_label"))))
 
 
 def _rate(history: list[list[float]]) -> Column:
@@ -135,18 +104,19 @@ def _rate(history: list[list[float]]) -> Column:
     if not history:
         return F.lit(1.0)
     steps = F.array(*[F.array(*map(F.lit, h)) for h in history])
-    dot = lambda g: sum((F.element_at("p", i + 1) * F.element_at(g, i + 1) for i in range(len(history[0]))), F.lit(0.0))
+    dot = lambda g: sum((F.element_at("_p", i + 1) * F.element_at(g, i + 1) for i in range(len(history[0]))), F.lit(0.0))
     return F.aggregate(steps, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - dot(g)))
 
 
 def _tokens_of(members: DataFrame, k: int, rate: Column) -> list[float]:
-    weight = F.col("copies") * F.col("tokens") * rate
-    row = members.select(weight.alias("w"), "p").agg(*[F.sum(F.col("w") * F.element_at("p", i + 1)).alias(f"m{i}") for i in range(k)]).first()
+    row = members.select((F.col("_tokens") * rate).alias("w"), "_p").agg(
+        *[F.sum(F.col("w") * F.element_at("_p", i + 1)).alias(f"m{i}") for i in range(k)]
+    ).first()
     return [x or 0.0 for x in row]
 
 
 def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
-    """Residuals of the projected-gradient steps; ``targets`` are tokens by domain."""
+    """Residuals of the projected-gradient steps over ``members(_tokens, _p)``; ``targets`` are tokens by domain."""
     k = len(targets)
     have = _tokens_of(members, k, F.lit(1.0))
     history: list[list[float]] = []
@@ -161,48 +131,44 @@ def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
     return history
 
 
-def rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, shares: dict[str, float] | None = None) -> DataFrame:
-    """(_none, _id, _hash, copies, tokens, posteriors by domain, rate).
+def targets_of(members: DataFrame, domains: list[str], weights: dict[str, float] | None, shares: dict[str, float] | None) -> list[float]:
+    """Target tokens by domain: ``weights`` of a mixture as large as the corpus, or ``shares`` of what each has."""
+    have = _tokens_of(members, len(domains), F.lit(1.0))
+    if shares is not None:
+        return [h * shares.get(d, 0.0) for d, h in zip(domains, have, strict=True)]
+    whole = sum((weights or {}).values()) or 1.0
+    return [sum(have) * (weights or {}).get(d, 0.0) / whole for d in domains]
 
-    ``weights``: target share of each domain in a mixture of as many tokens as the corpus has; or ``shares``: target
-    of each domain as a share of the tokens it has now.
-    """
+
+def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, shares: dict[str, float] | None = None) -> DataFrame:
+    """One row per document: doc_id, tokens, posterior of each domain, rate."""
     model = fit(docs, labels)
     if model is None:
-        empty = "_none boolean, _id long, _hash long, copies long, tokens long, rate double"
-        return docs.sparkSession.createDataFrame([], empty)
-    prior = model.prior
-    members = cut(model.posteriors(docs))
-    have = _tokens_of(members, len(prior), F.lit(1.0))
-    if shares is not None:
-        targets = [h * shares.get(d, 0.0) for d, h in zip(prior, have, strict=True)]
-    else:
-        weights = weights or {}
-        whole = sum(weights.values()) or 1.0
-        targets = [sum(have) * weights.get(d, 0.0) / whole for d in prior]
-    history = fit_rates(members, targets)
+        return docs.select("doc_id", F.lit(0).cast("long").alias("tokens"), F.lit(1.0).alias("rate")).where(F.lit(False))
+    members = cut(model.posteriors(_rows(docs)).select("doc_id", "_tokens", "_p"))
+    history = fit_rates(members, targets_of(members, model.domains, weights, shares))
     return members.select(
-        *KEY, "copies", "tokens", *[F.element_at("p", i + 1).alias(f"p_{d}") for i, d in enumerate(prior)], _rate(history).alias("rate")
+        "doc_id", F.col("_tokens").alias("tokens"),
+        *[F.element_at("_p", i + 1).alias(f"p_{d}") for i, d in enumerate(model.domains)], _rate(history).alias("rate"),
     )
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """One row per document: doc_id, copies, tokens, posterior of each domain, rate."""
-    got = rates(docs, labels, weights)
-    return got.withColumn("doc_id", F.when(~F.col("_none"), F.col("_id"))).select("doc_id", *[c for c in got.columns if c not in KEY])
-
-
 def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: float = 0.1) -> DataFrame:
     """The input's rows, each as often as its rate says: whole part, and one more with the probability of the rest.
 
     The draw is by a hash of doc_id and text.  A rate within ``snap`` of a whole number counts as that number.
     """
-    got = cut(rates(docs, labels, shares=shares).select(*KEY, "rate"))
-    near = F.when(F.abs(F.col("rate") - F.round("rate")) <= snap, F.round("rate")).otherwise(F.col("rate"))
-    draw = F.pmod(F.xxhash64(F.lit("draw"), *KEY), F.lit(1 << 30)) / float(1 << 30)
-    times = got.select(*KEY, F.floor(near + draw).cast("int").alias("_times"))
-    rows = packed(docs, "doc_id", "text")
-    doc_id = F.col("doc_id").cast("long")
-    rows = rows.select(ROW, doc_id.isNull().alias("_none"), F.coalesce(doc_id, F.lit(0)).alias("_id"), F.xxhash64("text").alias("_hash"))
-    kept = rows.join(times, KEY).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    model = fit(docs, labels)
+    if model is None:
+        return docs
+    rows = packed(docs, "doc_id", "text").select(
+        ROW, "doc_id", F.xxhash64("text").alias("_hash"), F.coalesce("text", F.lit("")).alias("_text")
+    )
+    scored = model.posteriors(rows)
+    members = cut(scored.select("_tokens", "_p"))
+    rate = _rate(fit_rates(members, targets_of(members, model.domains, None, shares)))
+    near = F.when(F.abs(F.col("_rate") - F.round("_rate")) <= snap, F.round("_rate")).otherwise(F.col("_rate"))
+    draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "_hash"), F.lit(1 << 30)) / float(1 << 30)
+    times = scored.withColumn("_rate", rate).withColumn("_times", F.floor(near + draw).cast("int"))
+    kept = times.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return unpacked(kept)

@@ -250,3 +250,10 @@ def tokens(docs: DataFrame, model_path: str, kind: str = "bpe") -> DataFrame:
     """One row per document: doc_id, n_tokens, ids, round_trip."""
     got = encoded(docs.select(docs["doc_id"], docs["text"]), load(model_path), kind)
     return got.select("doc_id", _counted().alias("n_tokens"), F.col("_ids").alias("ids"), F.col("_exact").alias("round_trip"))
+
+
+def tokenised(docs: DataFrame, model_path: str, kind: str = "bpe") -> DataFrame:
+    """The input's rows with n_tokens, token_ids and round_trip, which replace columns of these names."""
+    new = {"n_tokens": _counted(), "token_ids": F.col("_ids"), "round_trip": F.col("_exact")}
+    rows = docs.drop(*new, "_ids", "_exact")
+    return encoded(rows, load(model_path), kind).withColumns(new).select(*rows.columns, *new)
