@@ -1,18 +1,16 @@
-"""Exact whole-table ranks and cumulative counts without a single-partition window.
+"""Exact ranks, running totals and quantiles without a window over a whole table or group.
 
 A plain ``Window.orderBy(x)`` moves every row into one task.  Here:
 
-1. rows are reduced to a value-frequency table (one row per distinct value, so
-   a value held by a third of all rows is one row);
-2. distinct values are cut into ``buckets`` equal-width ranges of the value
-   (monotone in the value, equal values share a bucket);
-3. bucket totals (``buckets`` rows) give each bucket's offset through a small
-   window over bucket numbers;
-4. inside a bucket a window partitioned by the bucket gives the local running
-   count; offset + local = global count of smaller values.
-
-The result joins back to the rows on the value.  All steps are shuffles keyed
-by value or bucket; no step holds more than one bucket of distinct values.
+1. rows are reduced to a value-frequency table (one row per distinct value of a group, so a value held by a third of
+   all rows is one row);
+2. distinct values are cut into buckets at quantiles of the distinct values, so one outlier does not push the rest
+   into one bucket; equal values share a bucket;
+3. bucket totals (a row per bucket and group) give each bucket's offset through a small window over bucket numbers;
+4. inside a bucket a window partitioned by group and bucket gives the local running total; offset + local = total over
+   all smaller values.
+
+All steps are lazy and shuffle by value or bucket; no step holds more than one bucket of distinct values.
 """
 
 from __future__ import annotations
@@ -21,43 +19,87 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+BUCKETS = 256
+
+
+def running_totals(table: DataFrame, group: list[str], value: str, sums: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Adds ``<c>_before`` (sum of c over smaller values of the group) and ``<c>_total`` for each c in ``sums``.
+
+    ``table`` has one row per group and value.
+    """
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    edges = table.agg(F.array_distinct(F.percentile_approx(value, probs, 20 * buckets)).alias("e")).scalar()
+    b = table.withColumn("_e", edges).withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col(value)))).drop("_e")
+    totals = b.groupBy(*group, "_b").agg(*[F.sum(c).alias(f"_s_{c}") for c in sums])
+    whole = Window.partitionBy(*group)
+    fore = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_b").alias("_ob"),
+        *[F.coalesce(F.sum(f"_s_{c}").over(fore), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        *[F.sum(f"_s_{c}").over(whole).alias(f"{c}_total") for c in sums],
+    )
+    near = Window.partitionBy(*group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = b.select("*", *[F.coalesce(F.sum(c).over(near), F.lit(0)).alias(f"_l_{c}") for c in sums])
+    same = F.col("_b") == F.col("_ob")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    return local.join(offsets, same).select(
+        *table.columns, *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{c}_before") for c in sums], *[f"{c}_total" for c in sums]
+    )
 
-def value_rank_table(df: DataFrame, value: Column | str, buckets: int = 64) -> DataFrame:
+
+def value_rank_table(df: DataFrame, value: Column | str, buckets: int = BUCKETS) -> DataFrame:
     """Per distinct value v: ``n_less`` (#rows < v), ``n_eq`` (#rows == v), ``n_total``.
 
     Null values are dropped (pandas ranks ignore NaN).
     """
     v = F.col(value) if isinstance(value, str) else value
-    vc = df.select(v.cast("double").alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(
+    counts = df.select(v.cast("double").alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(
         F.count(F.lit(1)).alias("n_eq"))
-    stats = vc.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n_eq").alias("n_total"))
-    s = stats.select(F.struct("lo", "hi", "n_total").alias("s")).scalar()
-    width = (s["hi"] - s["lo"]) / buckets
-    b = F.when(s["hi"] == s["lo"], F.lit(0)).otherwise(
-        F.least(F.floor((F.col("v") - s["lo"]) / width), F.lit(buckets - 1))).cast("int")
-    vb = vc.withColumn("b", b)
-    btot = vb.groupBy("b").agg(F.sum("n_eq").alias("bn"))
-    off = btot.select("b", F.coalesce(F.sum("bn").over(Window.orderBy("b").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))  # one row per bucket
-    local = F.coalesce(F.sum("n_eq").over(Window.partitionBy("b").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))
-    return (vb.select("v", "b", "n_eq", local.alias("_loc")).join(F.broadcast(off), "b")
-            .select("v", "n_eq", (F.col("off") + F.col("_loc")).alias("n_less"), s["n_total"].alias("n_total")))
-
-
-def pct_rank_average(df: DataFrame, value: str, out: str, ascending: bool = True, buckets: int = 64) -> DataFrame:
+    ranked = running_totals(counts, [], "v", ["n_eq"], buckets)
+    return ranked.select("v", "n_eq", F.col("n_eq_before").alias("n_less"), F.col("n_eq_total").alias("n_total"))
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], buckets: int = BUCKETS) -> DataFrame:
+    """Interpolated quantiles (as SQL ``percentile_cont``) per group: keys, ``n`` and the array ``q``.
+
+    The two order statistics around each position are read off the running counts of distinct values.
+    """
+    v = F.col(value).cast("double")
+    counts = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_totals(counts, keys, "_v", ["_n"], buckets)
+
+    def at(i: Column) -> Column:
+        return F.max(F.when((F.col("_n_before") <= i) & (i < F.col("_n_before") + F.col("_n")), F.col("_v")))
+
+    picks = []
+    for k, p in enumerate(probs):
+        position = F.lit(float(p)) * (F.col("_n_total") - 1)
+        picks += [at(F.floor(position)).alias(f"_lo{k}"), at(F.ceil(position)).alias(f"_hi{k}")]
+    got = ranked.groupBy(*keys).agg(F.max("_n_total").alias("n"), *picks)
+
+    def between(k: int) -> Column:
+        position = F.lit(float(probs[k])) * (F.col("n") - 1)
+        low, high = F.col(f"_lo{k}"), F.col(f"_hi{k}")
+        whole = F.floor(position) == F.ceil(position)
+        return F.when(whole, low).otherwise((F.ceil(position) - position) * low + (position - F.floor(position)) * high)
+
+    return got.select(*keys, "n", F.array(*[between(k) for k in range(len(probs))]).alias("q"))
+
+
+def _average_rank() -> Column:
+    return (F.col("n_less") + (F.col("n_eq") + 1) / 2.0) / F.col("n_total")
+
+
+def pct_rank_average(df: DataFrame, value: str, out: str, ascending: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """pandas ``rank(pct=True, method='average')``: (average 1-based rank of ties) / n, nulls stay null."""
     key = F.col(value).cast("double") if ascending else -F.col(value).cast("double")
-    t = value_rank_table(df, key, buckets)
-    avg_rank = (F.col("n_less") + (F.col("n_eq") + 1) / 2.0) / F.col("n_total")
-    t = t.select(F.col("v").alias("_rk_v"), avg_rank.alias(out))
+    t = value_rank_table(df, key, buckets).select(F.col("v").alias("_rk_v"), _average_rank().alias(out))
     return df.withColumn("_rk_v", key).join(t, "_rk_v", "left").drop("_rk_v")
 
 
-def pct_rank_table(df: DataFrame, value: str, out: str, ascending: bool = True, buckets: int = 64) -> DataFrame:
+def pct_rank_table(df: DataFrame, value: str, out: str, ascending: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """Distinct values of ``value`` (as double, column ``_v_<out>``) with their average-tie percent rank ``out``."""
     key = F.col(value).cast("double") if ascending else -F.col(value).cast("double")
-    t = value_rank_table(df, key, buckets)
-    avg_rank = (F.col("n_less") + (F.col("n_eq") + 1) / 2.0) / F.col("n_total")
     v = F.col("v") if ascending else -F.col("v")
-    return t.select(v.alias("_v_" + out), avg_rank.alias(out))
+    return value_rank_table(df, key, buckets).select(v.alias("_v_" + out), _average_rank().alias(out))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import exact_quantiles
+
 
 def quantiles(c: str | Column, probs, exact: bool = True, accuracy: int = 10000) -> Column:
     """Array of quantiles of ``c``.
@@ -21,17 +23,17 @@ def quantiles(c: str | Column, probs, exact: bool = True, accuracy: int = 10000)
     return F.percentile_approx(col.cast("double"), arr, accuracy)
 
 
-def box_stats(df: DataFrame, group: str | list[str], value: str, exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, group: str | list[str], value: str) -> DataFrame:
     """q1, median, q3, and whiskers (furthest points within 1.5 IQR) per group.
 
-    Two aggregations: quartiles per group, then the whiskers after joining the
-    quartiles (one row per group) back on the group key.
+    Quartiles come from running counts of distinct values, the whiskers from the same distinct values after joining
+    the quartiles (one row per group) back on the group key.
     """
     keys = [group] if isinstance(group, str) else list(group)
-    v = F.col(value).cast("double")
-    q = df.groupBy(*keys).agg(quantiles(value, [0.25, 0.5, 0.75], exact).alias("_q"), F.count(v).alias("n"))
-    q = q.select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    j = df.select(*keys, v.alias("_v")).join(q, keys)
+    values = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    q = exact_quantiles(values, keys, "_v", [0.25, 0.5, 0.75])
+    q = q.select(*keys, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    j = values.distinct().join(q, keys)
     lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     w = j.groupBy(*keys).agg(F.min(F.when(F.col("_v") >= lo, F.col("_v"))).alias("whisker_low"),

@@ -2,8 +2,7 @@
 
 Frequent itemsets come from Spark ML's distributed FP-Growth (PFP).  Rules are
 expanded from the itemsets for **every** antecedent/consequent split (Spark's
-own ``associationRules`` only emits single-item consequents): each itemset of
-size k yields 2^k - 2 splits via a bit-mask ``sequence`` + ``filter``, and the
+own ``associationRules`` only emits single-item consequents), and the
 supports of both sides are looked up by an equi-join on the sorted item array.
 Work is bounded by the itemsets, not by the baskets.
 """
@@ -15,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import cut
+
 SUPPORT_CANDIDATES = [0.005, 0.002, 0.001]
 
 
@@ -41,19 +42,26 @@ def frequent_itemsets(bk: DataFrame, min_support: float) -> DataFrame:
 
 
 def all_rules(itemsets: DataFrame, n_baskets, min_lift: float = 1.0) -> DataFrame:
-    """Every split A -> C of every frequent itemset (|I| >= 2); support, confidence, lift; lift >= min_lift."""
-    multi = itemsets.where(F.size("items") >= 2).withColumn("k", F.size("items"))
-    masks = multi.withColumn("mask", F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), F.col("k")).cast("int") - 2)))
-    bit = lambda x, i: (F.floor(F.col("mask") / F.pow(F.lit(2), i)) % 2) == 1  # noqa: E731 - bit i of the mask
-    splits = masks.select(
-        F.col("items"), F.col("freq").alias("freq_i"),
-        F.filter("items", lambda x, i: bit(x, i)).alias("antecedents"),
-        F.filter("items", lambda x, i: ~bit(x, i)).alias("consequents"),
-    )
+    """Every split A -> C of every frequent itemset (|I| >= 2); support, confidence, lift; lift >= min_lift.
+
+    Antecedents come level by level: an itemset without one of its items, then each of these without one more.  Only
+    distinct (itemset, antecedent) pairs go on, so a level never holds more rows than there are splits of its size.
+    """
+    multi = itemsets.where(F.size("items") >= 2).select("items", F.col("freq").alias("freq_i"))
+    largest = itemsets.agg(F.max(F.size("items"))).first()[0] or 0
+    level, splits = multi.withColumn("antecedents", F.col("items")), None
+    for _ in range(largest - 1):
+        level = level.where(F.size("antecedents") >= 2).select(
+            "items", "freq_i", F.explode(F.transform("antecedents", lambda x: F.array_remove(F.col("antecedents"), x)))
+            .alias("antecedents")).distinct()
+        splits = level if splits is None else splits.unionByName(level)
+    if splits is None:
+        splits = level.limit(0)
+    splits = splits.withColumn("consequents", F.array_except("items", "antecedents"))
     sup = itemsets.select(F.col("items").alias("_s_items"), F.col("freq").alias("_s_freq"))
     a = splits.join(sup, splits.antecedents == sup._s_items).withColumnRenamed("_s_freq", "freq_a").drop("_s_items")
     c = a.join(sup, a.consequents == sup._s_items).withColumnRenamed("_s_freq", "freq_c").drop("_s_items")
-    n = F.lit(n_baskets).cast("double") if not hasattr(n_baskets, "alias") else n_baskets.cast("double")
+    n = F.lit(n_baskets).cast("double")
     conf = F.col("freq_i") / F.col("freq_a")
     out = c.select(
         "antecedents", "consequents",
@@ -67,17 +75,17 @@ def all_rules(itemsets: DataFrame, n_baskets, min_lift: float = 1.0) -> DataFram
 def mine_rules(bk: DataFrame, candidates=SUPPORT_CANDIDATES, min_lift: float = 1.0) -> tuple[DataFrame, float | None]:
     """FP-Growth at each support in order; the first one that yields rules wins (None: popularity only).
 
-    The loop runs over the fixed candidate list (three distributed fits at most);
-    only the rule count of each attempt reaches the driver.
+    The loop runs over the fixed candidate list (three distributed fits at most).  Baskets, itemsets and rules are
+    each stored once, so no step runs the fact join again.
     """
+    bk = cut(bk)
     n = bk.count()
-    empty = None
+    rules = None
     for s in candidates:
-        rules = all_rules(frequent_itemsets(bk, s), n, min_lift)
-        empty = rules
-        if rules.limit(1).count() > 0:
+        rules = cut(all_rules(cut(frequent_itemsets(bk, s)), n, min_lift))
+        if not rules.isEmpty():
             return rules, s
-    return empty.limit(0), None
+    return rules, None
 
 
 def rank_rules(rules: DataFrame) -> DataFrame:
@@ -87,8 +95,8 @@ def rank_rules(rules: DataFrame) -> DataFrame:
     return rules.withColumn("rule_rank", F.row_number().over(w))
 
 
-def recommend_all(ranked_rules: DataFrame, pop: DataFrame, n: int = 5) -> DataFrame:
-    """For every subcategory, up to n recommendations.
+def recommend_all(ranked_rules: DataFrame, pop: DataFrame, subjects: DataFrame, n: int = 5) -> DataFrame:
+    """For every subcategory of ``subjects(subcategory)``, up to n recommendations.
 
     Tier 1: the first n rules (by lift) whose antecedents contain the
     subcategory, their consequents other than itself, in rule order (no
@@ -97,7 +105,7 @@ def recommend_all(ranked_rules: DataFrame, pop: DataFrame, n: int = 5) -> DataFr
     lift are rounded to 4 decimals.  Only the first 2n+1 popularity entries can
     ever be used, so the fill joins against that bounded list.
     """
-    subs = pop.select(F.col("subcategory").alias("s"))
+    subs = subjects.select(F.col("subcategory").alias("s")).where(F.col("s").isNotNull()).distinct()
     ex = ranked_rules.select(F.explode("antecedents").alias("s"), "consequents", "confidence", "lift", "rule_rank")
     m = ex.join(subs, "s")
     m = m.withColumn("_r", F.row_number().over(Window.partitionBy("s").orderBy("rule_rank"))).where(F.col("_r") <= n)

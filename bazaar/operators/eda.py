@@ -5,8 +5,8 @@ filter (quirk Q4); callers pass ``load_star(..., exclude_sentinel=False)``.
 Row caps the reference used for plotting (LIMIT 10 000 / 20 000) are not
 applied: every analysis runs over the whole table.
 
-Whole-table windows below always run on an aggregated table (one row per year,
-subcategory, product or distinct value), never on fact rows.
+Whole-table windows below always run on a small aggregated table (one row per year or subcategory); ranks, running
+sums and quantiles over products or customers use running totals over buckets of values.
 """
 
 from __future__ import annotations
@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.aggs import dmean, dsum
-from ..functions.stats import box_stats, cut, equal_width_bin, quantiles
+from ..sources.star import in_years
+from ..functions.ranks import exact_quantiles, running_totals, value_rank_table
+from ..functions.stats import box_stats, cut, equal_width_bin
+from ..session import cut as cut_lineage
 
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 AGE_ORDER = ["18-25", "26-35", "36-45", "46-55", "55+"]
@@ -24,24 +27,20 @@ def _all():
     return Window.partitionBy()  # whole-table window; only used on aggregated tables
 
 
-def _years(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
-    return fact.where(F.col("order_year").between(first_year, last_year))
-
-
 def _with_sub(fact: DataFrame, products: DataFrame, *cols: str) -> DataFrame:
     return fact.select("product_id", *cols).join(products.select("product_id", "subcategory"), "product_id")
 
 
 def revenue_trend(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
     """Yearly revenue (bn), rows and YoY %."""
-    y = _years(fact, first_year, last_year).groupBy("order_year").agg(
+    y = in_years(fact, first_year, last_year).groupBy("order_year").agg(
         (dsum("final_amount_inr") / 1e9).alias("rev"), F.count(F.lit(1)).alias("orders"))
     return y.withColumn("yoy", (F.col("rev") / F.lag("rev").over(Window.orderBy("order_year")) - 1) * 100)
 
 
 def year_month_matrix(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
     """Year x month revenue (millions), months as columns, missing as 0."""
-    p = (_years(fact, first_year, last_year).groupBy("order_year")
+    p = (in_years(fact, first_year, last_year).groupBy("order_year")
          .pivot("order_month", list(range(1, 13))).agg(F.sum("final_amount_inr")))
     return p.select("order_year", *[F.coalesce(F.col(str(m)).cast("double") / 1e6, F.lit(0.0)).alias(MONTHS[m - 1])
                                     for m in range(1, 13)])
@@ -51,26 +50,30 @@ def _qcut_or_rank(df: DataFrame, value: str, key: str, out: str, ascending: bool
     """pandas ``qcut(q)`` labels 1..q (or q..1), falling back to an equal-width cut of
     ``rank(method='first')`` when quantile edges repeat (the EDA's ``safe_qcut``).
 
-    Edges are exact interpolated quantiles (one global aggregate).  The rank
-    fallback orders by (value, key).
+    Edges are exact interpolated quantiles from running counts; one row of them decides between the two ways, so
+    ranks are only computed where they are used.  The rank orders by (value, key), also in running counts.
     """
-    probs = [i / q for i in range(q + 1)]
-    edges = df.agg(quantiles(value, probs).alias("e"))
-    j = df.withColumn("_e", edges.select("e").scalar())  # one-row aggregate as a scalar subquery
-    e = F.col("_e")
-    distinct_edges = F.size(F.array_distinct(e)) == q + 1
-    # qcut: bin i covers (e[i-1], e[i]], the first bin also includes e[0]
-    qbin = F.lit(None).cast("int")
-    for i in range(q, 0, -1):
-        lo_ok = (F.col(value) >= e[i - 1]) if i == 1 else (F.col(value) > e[i - 1])
-        qbin = F.when(lo_ok & (F.col(value) <= e[i]), F.lit(i)).otherwise(qbin)
-    n = F.count(F.lit(1)).over(_all())
-    r = F.row_number().over(Window.orderBy(value, key))
-    width = (n - 1) / q
-    rbin = F.when(n == 1, F.lit(1)).otherwise(F.least(F.greatest(F.ceil((r - 1) / width), F.lit(1)), F.lit(q)))
-    b = F.when(distinct_edges, qbin).otherwise(rbin).cast("int")
-    lab = b if ascending else (F.lit(q + 1) - b)
-    return j.withColumn(out, lab).drop("_e")
+    row = exact_quantiles(df, [], value, [i / q for i in range(q + 1)]).first()
+    if row is None or row["n"] is None:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    e, n = row["q"], row["n"]
+    if len(set(e)) == q + 1:
+        # bin i covers (e[i-1], e[i]], the first bin also includes e[0]
+        b = F.lit(None).cast("int")
+        for i in range(q, 0, -1):
+            above = F.col(value) >= e[0] if i == 1 else F.col(value) > e[i - 1]
+            b = F.when(above & (F.col(value) <= e[i]), F.lit(i)).otherwise(b)
+        j = df
+    else:
+        less = value_rank_table(df, value).select(F.col("v").alias("_v"), "n_less")
+        ties = running_totals(df.select(F.col(value).cast("double").alias("_v"), F.col(key).alias("_k"),
+                                        F.lit(1).alias("_one")), ["_v"], "_k", ["_one"])
+        r = ties.join(less, "_v").select("_k", (F.col("n_less") + F.col("_one_before") + 1).alias("_r"))
+        j = df.join(r, F.col(key) == F.col("_k")).drop("_k")
+        width = F.lit((n - 1) / q)
+        b = F.lit(1) if n == 1 else F.least(F.greatest(F.ceil((F.col("_r") - 1) / width), F.lit(1)), F.lit(q))
+    b = b.cast("int")
+    return j.withColumn(out, b if ascending else (F.lit(q + 1) - b)).select(*df.columns, out)
 
 
 def rfm_eda_segments(fact: DataFrame) -> DataFrame:
@@ -78,7 +81,8 @@ def rfm_eda_segments(fact: DataFrame) -> DataFrame:
     c = fact.groupBy("customer_id").agg(
         F.max(F.col("order_year") * 100 + F.col("order_month")).alias("lp"),
         F.count(F.lit(1)).alias("freq"), dsum("final_amount_inr").alias("mon"))
-    c = c.withColumn("recency", F.max("lp").over(_all()) - F.col("lp"))
+    c = cut_lineage(c)
+    c = c.withColumn("recency", c.agg(F.max("lp").alias("m")).scalar() - F.col("lp"))
     c = _qcut_or_rank(c, "recency", "customer_id", "r_s", ascending=False)
     c = _qcut_or_rank(c, "freq", "customer_id", "f_s", ascending=True)
     c = _qcut_or_rank(c, "mon", "customer_id", "m_s", ascending=True)
@@ -90,7 +94,7 @@ def rfm_eda_segments(fact: DataFrame) -> DataFrame:
 
 def payment_share_by_year(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
     """Payment method share (%) within each year."""
-    g = _years(fact, first_year, last_year).groupBy("order_year", "payment_method").agg(F.count(F.lit(1)).alias("n"))
+    g = in_years(fact, first_year, last_year).groupBy("order_year", "payment_method").agg(F.count(F.lit(1)).alias("n"))
     return g.withColumn("pct", F.col("n") / F.sum("n").over(Window.partitionBy("order_year")) * 100)
 
 
@@ -105,7 +109,7 @@ def subcategory_performance(fact: DataFrame, products: DataFrame) -> DataFrame:
 
 def subcategory_yearly_growth(fact: DataFrame, products: DataFrame, first_year: int, last_year: int) -> DataFrame:
     """Yearly revenue (millions) per subcategory, YoY %, and the peak year per subcategory."""
-    by_p = _years(fact, first_year, last_year).groupBy("product_id", "order_year").agg(
+    by_p = in_years(fact, first_year, last_year).groupBy("product_id", "order_year").agg(
         F.sum("final_amount_inr").alias("_r"))
     s = (by_p.join(products.select("product_id", "subcategory"), "product_id")
          .groupBy("order_year", "subcategory").agg((dsum("_r") / 1e6).alias("rev")))
@@ -146,11 +150,11 @@ def festival_revenue(fact: DataFrame) -> DataFrame:
             .agg((dsum("final_amount_inr") / 1e6).alias("rev_m")))
 
 
-def order_value_by_tier(fact: DataFrame, customers: DataFrame, exact: bool = True) -> DataFrame:
+def order_value_by_tier(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Box statistics of line value per customer tier."""
     j = fact.select("customer_id", F.col("final_amount_inr").cast("double").alias("v")).join(
         customers.select("customer_id", "customer_tier"), "customer_id")
-    return box_stats(j, "customer_tier", "v", exact)
+    return box_stats(j, "customer_tier", "v")
 
 
 def payment_mix_by_tier(fact: DataFrame, customers: DataFrame) -> DataFrame:
@@ -201,15 +205,15 @@ def return_rate_by(fact: DataFrame, products: DataFrame, key: str) -> DataFrame:
                                / F.count(F.lit(1)) * 100).alias("rate"))
 
 
-def cohort_retention(fact: DataFrame, first_year: int, last_year: int, min_size: int = 5) -> DataFrame:
+def cohort_retention(fact: DataFrame, first_year: int, last_year: int, min_size: int = 0) -> DataFrame:
     """Distinct customers of each first-purchase cohort active per year, as % of the cohort size.
 
     Intended version of quirk Q3: divided by the cohort's own first-year size
-    (the notebook divides every cohort by the first year column).  Cohorts
-    smaller than ``min_size`` are dropped.  ``min(year)`` per customer is a
+    (the notebook divides every cohort by the first year column).  All cohorts
+    are returned; a plot may ask for those of ``min_size`` customers or more.  ``min(year)`` per customer is a
     window over the customer partition, so no join back is needed.
     """
-    f = _years(fact, first_year, last_year).select("customer_id", "order_year").distinct()
+    f = in_years(fact, first_year, last_year).select("customer_id", "order_year").distinct()
     f = f.withColumn("cohort", F.min("order_year").over(Window.partitionBy("customer_id")))
     m = f.groupBy("cohort", "order_year").agg(F.count(F.lit(1)).alias("customers"))
     size = F.max(F.when(F.col("order_year") == F.col("cohort"), F.col("customers"))).over(Window.partitionBy("cohort"))
@@ -220,17 +224,14 @@ def cohort_retention(fact: DataFrame, first_year: int, last_year: int, min_size:
 
 def clv_distribution(fact: DataFrame, bins: int = 50) -> DataFrame:
     """Customer value histogram after clipping at P99; mean and median of the unclipped values."""
-    c = fact.groupBy("customer_id").agg(F.sum("final_amount_inr").cast("double").alias("clv"))
-    s = c.agg(F.percentile("clv", F.lit(0.99)).alias("cap"), F.avg("clv").alias("mean"),
-              F.percentile("clv", F.lit(0.5)).alias("median"))
-    cap = s.select("cap").scalar()
-    clipped = c.select(F.least(F.col("clv"), cap).alias("v"))
-    lo_hi = clipped.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    b = equal_width_bin(F.col("v"), lo_hi.select("lo").scalar(), lo_hi.select("hi").scalar(), bins)
-    h = clipped.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("customers"))
-    return h.select("bin", "customers", F.round(cap, 4).alias("p99_cap"),
-                    F.round(s.select("mean").scalar(), 4).alias("mean_clv"),
-                    F.round(s.select("median").scalar(), 4).alias("median_clv"))
+    c = cut_lineage(fact.groupBy("customer_id").agg(F.sum("final_amount_inr").cast("double").alias("clv")))
+    s = exact_quantiles(c, [], "clv", [0.99, 0.5]).select(F.struct(F.col("q")[0].alias("cap"), F.col("q")[1].alias("median")))
+    s = s.scalar()
+    m = c.agg(F.struct(F.avg("clv").alias("mean"), F.min("clv").alias("lo"), F.max("clv").alias("hi"))).scalar()
+    b = equal_width_bin(F.least(F.col("clv"), s["cap"]), F.least(m["lo"], s["cap"]), F.least(m["hi"], s["cap"]), bins)
+    h = c.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("customers"))
+    return h.select("bin", "customers", F.round(s["cap"], 4).alias("p99_cap"), F.round(m["mean"], 4).alias("mean_clv"),
+                    F.round(s["median"], 4).alias("median_clv"))
 
 
 def delivery_by_type(fact: DataFrame) -> DataFrame:
@@ -262,16 +263,16 @@ def rating_by_subcategory(fact: DataFrame, products: DataFrame) -> DataFrame:
 def pareto(fact: DataFrame, share: float = 80.0) -> DataFrame:
     """Smallest % of products (by revenue, descending) whose cumulative share stays <= 80 %.
 
-    The running sum runs over one row per product.
+    Running sums over distinct revenues; of products with equal revenue, as many count as still fit.
     """
     p = fact.groupBy("product_id").agg(F.sum("final_amount_inr").alias("rev"))
-    w = Window.orderBy(F.desc("rev"), "product_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = p.select(
-        (F.sum("rev").over(w).cast("double") / F.sum("rev").over(_all()).cast("double") * 100).alias("cum"),
-        (F.row_number().over(Window.orderBy(F.desc("rev"), "product_id")) / F.count(F.lit(1)).over(_all()) * 100)
-        .alias("pp"))
-    return c.agg(F.coalesce(F.max(F.when(F.col("cum") <= share, F.col("pp"))), F.lit(100.0)).alias("top_pct_products"),
-                 F.count(F.lit(1)).alias("products"))
+    r = p.groupBy((-F.col("rev")).alias("neg")).agg(F.count(F.lit(1)).alias("n"), F.sum("rev").alias("s"))
+    r = running_totals(r, [], "neg", ["n", "s"])
+    each, whole = -F.col("neg").cast("double"), F.col("s_total").cast("double")
+    fit = F.floor((whole * (share / 100.0) - F.col("s_before").cast("double")) / each)
+    taken = F.least(F.greatest(fit, F.lit(0)), F.col("n"))
+    pp = F.when(taken > 0, (F.col("n_before") + taken) / F.col("n_total") * 100)
+    return r.agg(F.coalesce(F.max(pp), F.lit(100.0)).alias("top_pct_products"), F.max("n_total").alias("products"))
 
 
 FREQ_EDGES_LABELS = ["1", "2", "3-4", "5-9", "10-19", "20-49", "50+"]
@@ -331,9 +332,8 @@ def price_percentiles(fact: DataFrame, products: DataFrame, max_price: float = 5
     """List price p25 / median / p75 / min / max per subcategory, 0 < price < max."""
     f = _with_sub(fact.where((F.col("original_price_inr") > 0) & (F.col("original_price_inr") < max_price)),
                   products, "original_price_inr")
-    g = f.groupBy("subcategory").agg(quantiles("original_price_inr", [0.25, 0.5, 0.75]).alias("q"),
-                                     F.min("original_price_inr").alias("min_p"),
-                                     F.max("original_price_inr").alias("max_p"))
+    g = f.groupBy("subcategory").agg(F.min("original_price_inr").alias("min_p"), F.max("original_price_inr").alias("max_p"))
+    g = g.join(exact_quantiles(f, ["subcategory"], "original_price_inr", [0.25, 0.5, 0.75]), "subcategory")
     return g.select("subcategory", F.round(F.col("q")[0], 6).alias("p25"), F.round(F.col("q")[1], 6).alias("median"),
                     F.round(F.col("q")[2], 6).alias("p75"), "min_p", "max_p")
 

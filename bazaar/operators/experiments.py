@@ -6,15 +6,16 @@ prediction, a ``purchase`` is an order.  "Now" is the latest event time.
 
 AUC (rank-sum with average ties) and the two-sample KS statistic are computed
 from value-frequency tables: rows are first reduced to one row per distinct
-(group, value), and cumulative counts run over those, so no step sorts raw rows
-in one partition.
+(group, value), and running counts over those are taken in two levels (buckets of
+values, then inside a bucket), so no step holds a group in one task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from ..functions.ranks import running_totals
 
 
 def ab_bucket(key: Column) -> Column:
@@ -38,22 +39,32 @@ def prediction_log(events: DataFrame, challenger_pct: float = 0.5) -> DataFrame:
     return assign_version(p, "customer_id", challenger_pct)
 
 
-def materialize_outcomes(preds: DataFrame, events: DataFrame, window_days: int = 7) -> DataFrame:
-    """X11: first prediction per customer older than the window; churned = no purchase within the window after it.
+def materialize_outcomes(preds: DataFrame, events: DataFrame, window_days: int = 7, labelled: DataFrame | None = None,
+                         age_days: int = 0) -> DataFrame:
+    """First prediction per customer older than the window; churned = no purchase in the window from the
+    day of this prediction on (dates, so an earlier purchase of the same day counts).
 
-    "Now" is the latest event time.  The range condition is a left join on
-    customer with the [t, t + window) interval; one row per customer results.
+    "Now" is the latest event time less ``age_days``; the outcome is dated now.  Customers in ``labelled`` are
+    skipped by an anti-join.  The range condition is a left join on the customer; one row per customer results.
     """
-    now = events.agg(F.max("ts")).scalar()
+    now = events.agg(F.max("ts") - F.expr(f"INTERVAL {age_days} DAYS")).scalar()
     first = (preds.where(F.col("predicted_at") <= now - F.expr(f"INTERVAL {window_days} DAYS"))
-             .groupBy("customer_id").agg(F.min("predicted_at").alias("first_pred")))
-    buys = events.where(F.col("event_type") == "purchase").select(F.col("user_id").alias("cid"), F.col("ts").alias("bt"))
-    j = first.join(buys, (first.customer_id == buys.cid) & (buys.bt >= first.first_pred) &
-                   (buys.bt < first.first_pred + F.expr(f"INTERVAL {window_days} DAYS")), "left")
-    return j.groupBy("customer_id", "first_pred").agg(
-        (F.count("bt") == 0).alias("churned")).select(
-        "customer_id", "churned", F.to_date(F.col("first_pred") + F.expr(f"INTERVAL {window_days} DAYS"))
-        .alias("outcome_date"))
+             .groupBy("customer_id").agg(F.to_date(F.min("predicted_at")).alias("day")))
+    if labelled is not None:
+        first = first.join(labelled.select("customer_id").distinct(), "customer_id", "left_anti")
+    buys = events.where((F.col("event_type") == "purchase") & (F.col("ts") <= now)).select(
+        F.col("user_id").alias("cid"), F.to_date("ts").alias("bought"))
+    j = first.join(buys, (first.customer_id == buys.cid) & (buys.bought >= first.day) &
+                   (buys.bought < F.date_add(first.day, window_days)), "left")
+    return j.groupBy("customer_id").agg((F.count("bought") == 0).alias("churned")).select(
+        "customer_id", "churned", F.to_date(now).alias("outcome_date"))
+
+
+def outcomes_to_date(preds: DataFrame, events: DataFrame, window_days: int = 7, every_days: int = 7) -> DataFrame:
+    """Two runs of the outcome job, ``every_days`` apart: the later run labels only customers without a label."""
+    earlier = materialize_outcomes(preds, events, window_days, age_days=every_days)
+    later = materialize_outcomes(preds, events, window_days, labelled=earlier)
+    return earlier.unionByName(later)
 
 
 def labelled_predictions(preds: DataFrame, outcomes: DataFrame, events: DataFrame, window_days: int = 7) -> DataFrame:
@@ -75,13 +86,12 @@ def auc_by_group(scored: DataFrame, group: str, score: str, label: str) -> DataF
 
     AUC = (sum of positive ranks - n+(n+ + 1)/2) / (n+ n-), ranks over the
     group's scores with ties averaged.  Computed on (group, score) frequency
-    rows: the window runs over distinct scores of one group.
+    rows, with running counts over buckets of scores: no task sorts a group.
     """
     vf = scored.groupBy(group, score).agg(F.count(F.lit(1)).alias("n"),
                                           F.sum(F.col(label).cast("bigint")).alias("pos"))
-    w = Window.partitionBy(group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    vf = vf.withColumn("less", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    vf = vf.withColumn("avg_rank", F.col("less") + (F.col("n") + 1) / 2.0)
+    vf = running_totals(vf, [group], score, ["n"])
+    vf = vf.withColumn("avg_rank", F.col("n_before") + (F.col("n") + 1) / 2.0)
     g = vf.groupBy(group).agg(F.sum(F.col("pos") * F.col("avg_rank")).alias("rsum"),
                               F.sum("pos").alias("npos"), (F.sum("n") - F.sum("pos")).alias("nneg"))
     g = g.where((F.col("npos") > 0) & (F.col("nneg") > 0))
@@ -114,11 +124,10 @@ def ks_drift(reference: DataFrame, current: DataFrame, feature_key: str, value:
     r = reference.groupBy(feature_key, value).agg(F.count(F.lit(1)).alias("c1")).withColumn("c2", F.lit(0))
     c = current.groupBy(feature_key, value).agg(F.count(F.lit(1)).alias("c2")).withColumn("c1", F.lit(0))
     u = r.unionByName(c).groupBy(feature_key, value).agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
-    w = Window.partitionBy(feature_key).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = Window.partitionBy(feature_key)
-    u = u.select(feature_key, (F.sum("c1").over(w) / F.sum("c1").over(tot)).alias("f1"),
-                 (F.sum("c2").over(w) / F.sum("c2").over(tot)).alias("f2"),
-                 F.sum("c1").over(tot).alias("n1"), F.sum("c2").over(tot).alias("n2"))
+    u = running_totals(u, [feature_key], value, ["c1", "c2"])
+    u = u.select(feature_key, ((F.col("c1_before") + F.col("c1")) / F.col("c1_total")).alias("f1"),
+                 ((F.col("c2_before") + F.col("c2")) / F.col("c2_total")).alias("f2"),
+                 F.col("c1_total").alias("n1"), F.col("c2_total").alias("n2"))
     d = u.groupBy(feature_key).agg(F.max(F.abs(F.col("f1") - F.col("f2"))).alias("ks_stat"),
                                    F.first("n1").alias("n_ref"), F.first("n2").alias("n_cur"))
     ne = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
@@ -138,7 +147,14 @@ def dataset_drift(per_feature: DataFrame, share_threshold: float = 0.5) -> DataF
         (F.col("n_drifted") / F.col("n_features") >= share_threshold).alias("dataset_drift"))
 
 
-def retrain_decision(summary: DataFrame, share: float = 0.30, min_features: int = 3) -> DataFrame:
-    """Retrain when the dataset drifted, share >= 0.30 and at least 3 features drifted."""
-    return summary.withColumn("retrain", F.col("dataset_drift") & (F.col("drift_share") >= share)
-                              & (F.col("n_drifted") >= min_features))
+def retrain_decision(summary: DataFrame, share: float = 0.30, min_features: int = 3, checked_at: Column | None = None,
+                     now: Column | None = None, max_age_hours: int = 24) -> DataFrame:
+    """Retrain when the dataset drifted, share >= 0.30 and at least 3 features drifted.
+
+    With ``checked_at`` and ``now`` a result of ``max_age_hours`` or older is stale and never a reason to retrain.
+    """
+    ok = F.col("dataset_drift") & (F.col("drift_share") >= share) & (F.col("n_drifted") >= min_features)
+    if checked_at is None or now is None:
+        return summary.withColumn("retrain", ok)
+    fresh = checked_at + F.expr(f"INTERVAL {max_age_hours} HOURS") > now
+    return summary.withColumn("fresh", fresh).withColumn("retrain", ok & F.col("fresh"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranks import pct_rank_table
-from ..session import ensure_checkpoint_dir
+from ..session import cut as lineage_cut
 from ..functions.stats import cut
 
 RFM_EDGES = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
@@ -62,8 +62,7 @@ def rfm_scores(df: DataFrame, recency_mode: str = "reference") -> DataFrame:
     asc = recency_mode != "reference"
     # the three rank tables read the same per-customer table; cut its lineage once so
     # it is computed a single time (reliable checkpoint in the session's checkpoint dir)
-    ensure_checkpoint_dir(df.sparkSession)
-    base = df.checkpoint(eager=True)
+    base = lineage_cut(df)
     out = base
     for col, name, a in [("days_since_last_purchase", "_pr", asc), ("total_orders_all_time", "_pf", True),
                          ("total_spend_all_time", "_pm", True)]:
@@ -146,15 +145,18 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str
     """For every entity row, the latest feature row with
     ``entity_ts - ttl <= feature_ts <= entity_ts`` for the same key (nulls if none).
 
-    Equi-join on the key plus the ttl range, then ``max_by`` of the feature
-    struct per entity row.  Candidates per entity row are bounded by the ttl
-    (feature rows of one key inside one ttl window), not by the size of the
-    key's history; a hot key is split by AQE's skew-join handling.
+    Time is cut into ttl-wide buckets; a feature row can only serve entities of its own bucket and the next one, so it
+    is sent to both and the equi-join is on key and bucket: a long history of one key is spread over many join keys,
+    and candidates per entity row are bounded by two buckets.  ``max_by`` then takes the latest per entity row.
     """
     cols = feature_cols or [c for c in features.columns if c not in (key, feature_ts)]
     f = features.select(F.col(key).alias("_fk"), F.col(feature_ts).alias("_fts"), *cols)
     e = entities
-    cond = ((e[key] == f["_fk"]) & (f["_fts"] <= e[entity_ts]) &
+    width = ttl_days + 1
+    bucket = lambda ts: F.floor(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) / width)
+    f = f.withColumn("_fb", F.explode(F.array(bucket(F.col("_fts")), bucket(F.col("_fts")) + 1)))
+    e = e.withColumn("_eb", bucket(F.col(entity_ts)))
+    cond = ((e[key] == f["_fk"]) & (e["_eb"] == f["_fb"]) & (f["_fts"] <= e[entity_ts]) &
             (f["_fts"] >= F.date_sub(F.to_date(e[entity_ts]), ttl_days)))
     # entity rows must be distinct (e.g. carry their own id): they are the grouping key
     j = e.join(f, cond, "left")

@@ -55,7 +55,7 @@ def _fit_predict(pdf: pd.DataFrame, horizon: int, holdout: int, min_months: int,
     beta = np.linalg.solve(X.T @ X + ridge * np.eye(X.shape[1]), X.T @ ytr)
     sigma = float(np.std(ytr - X @ beta)) if len(ytr) > 1 else 0.0
     last = pd.Timestamp(train["month"].iloc[-1])
-    future = pd.Series(pd.date_range(last + pd.offsets.MonthBegin(1), periods=horizon + holdout, freq="MS"))
+    future = pd.Series(pd.date_range(last + pd.offsets.MonthBegin(1), periods=horizon, freq="MS"))
     hist_x = _design(pdf["month"], t0)
     out = []
     for kind, months, yy, xx in [("history", pdf["month"], pdf["total_revenue"].to_numpy(dtype=float), hist_x),
@@ -68,13 +68,16 @@ def _fit_predict(pdf: pd.DataFrame, horizon: int, holdout: int, min_months: int,
     # rows of the hold-out keep their actual y so WMAPE can be computed from the output
     hold = set(pd.to_datetime(pdf["month"].iloc[-holdout:]).dt.date) if holdout else set()
     res.loc[(res["kind"] == "history") & res["ds"].isin(hold), "kind"] = "holdout"
-    return res[(res["kind"] != "forecast") | (~res["ds"].isin(hold))]
+    return res
 
 
 def forecast(series: DataFrame, horizon: int = 12, holdout: int = 3, min_months: int = 12, ridge: float = 1e-3,
              refit_full: bool = False) -> DataFrame:
     """Per-subcategory fit (>= 12 months, else skipped), last ``holdout`` rows held out (quirk Q17),
-    history fit + hold-out + ``horizon`` months ahead with an approximate 95 % band."""
+    history fit + hold-out + ``horizon`` months after the last row of the fit, with an approximate 95 % band.
+
+    As the fit ends before the hold-out (quirk Q16), the first forecast months are those of the hold-out; with
+    ``refit_full`` the fit has all rows and the forecast begins after them."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return _fit_predict(pdf, horizon, holdout, min_months, ridge, refit_full)
 
@@ -92,7 +95,7 @@ def wmape(fc: DataFrame) -> DataFrame:
 
 
 def next_month_summary(fc: DataFrame) -> DataFrame:
-    """The first forecast month per subcategory."""
+    """The first month after the rows of the fit, per subcategory."""
     f = fc.where(F.col("kind") == "forecast")
     return f.groupBy("subcategory").agg(F.min_by(F.struct("ds", "yhat", "yhat_lower", "yhat_upper"), "ds").alias("n")
                                         ).select("subcategory", "n.*")

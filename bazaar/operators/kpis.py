@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.aggs import count_if, dmean, dsum
+from ..sources.star import in_years
 
 def _returned():
     return F.col("return_status") == "Returned"
@@ -157,7 +158,8 @@ def top10_heatmap(fact: DataFrame, products: DataFrame, k: int = 10) -> DataFram
 def yoy_growth(fact: DataFrame, products: DataFrame, year_a: int = 1999, year_b: int = 2000,
                limit: int = 15) -> DataFrame:
     """Q-YOY: growth % from year_a to year_b, both years positive, top-k."""
-    t = _sub_totals(fact.where(F.col("order_year").isin(year_a, year_b)), products, "order_year")
+    in_both = in_years(fact, min(year_a, year_b), max(year_a, year_b)).where(F.col("order_year").isin(year_a, year_b))
+    t = _sub_totals(in_both, products, "order_year")
     by = t.groupBy("subcategory").agg(
         F.sum(F.when(F.col("order_year") == year_a, F.col("_rev")).otherwise(0)).cast("double").alias("rev_a"),
         F.sum(F.when(F.col("order_year") == year_b, F.col("_rev")).otherwise(0)).cast("double").alias("rev_b"),
@@ -305,7 +307,7 @@ def festival_vs_regular(fact: DataFrame, first_year: int = 1995, last_year: int
     """Q-FESTREG: festival vs regular revenue per year (null flag counts on neither side)."""
     fest = F.col("is_festival_sale")
     return (
-        fact.where(F.col("order_year").between(first_year, last_year))
+        in_years(fact, first_year, last_year)
         .groupBy("order_year").agg(
             (F.sum(F.when(fest, F.col("final_amount_inr")).otherwise(0)).cast("double") / 1e6).alias("festival_rev_m"),
             (F.sum(F.when(~fest, F.col("final_amount_inr")).otherwise(0)).cast("double") / 1e6).alias("regular_rev_m"),
@@ -604,7 +606,7 @@ def current_month_perf(fact: DataFrame) -> DataFrame:
 def yearly_revenue(fact: DataFrame, first_year: int = 1995, last_year: int = 2001) -> DataFrame:
     """Q-YEARLY: yearly KPIs plus revenue-weighted mean discount."""
     return (
-        fact.where(F.col("order_year").between(first_year, last_year))
+        in_years(fact, first_year, last_year)
         .groupBy("order_year").agg(
             (dsum("final_amount_inr") / 1e9).alias("rev_bn"),
             F.count(F.lit(1)).alias("orders"),
@@ -653,7 +655,7 @@ def discount_revenue_impact(fact: DataFrame, first_year: int = 1995, last_year:
     """Q-DISC: gross (list price x quantity), net, discount given, mean discount per year."""
     # list price x quantity is a double; each line is fixed to 4 decimals before an exact sum
     gross_line = (F.col("original_price_inr") * F.col("quantity")).cast("decimal(18,4)")
-    f = fact.where(F.col("order_year").between(first_year, last_year) & F.col("original_price_inr").isNotNull())
+    f = in_years(fact, first_year, last_year).where(F.col("original_price_inr").isNotNull())
     return (
         f.groupBy("order_year").agg(
             dsum(gross_line).alias("gross_rev"),

@@ -181,7 +181,7 @@ c AS (SELECT customer_id, MIN(order_year) AS cohort FROM d GROUP BY customer_id)
 m AS (SELECT c.cohort, d.order_year, COUNT(*) AS customers FROM d JOIN c ON d.customer_id = c.customer_id
       GROUP BY c.cohort, d.order_year),
 z AS (SELECT *, MAX(CASE WHEN order_year = cohort THEN customers END) OVER (PARTITION BY cohort) AS cohort_size FROM m)
-SELECT cohort, order_year, customers, customers / cohort_size * 100 AS pct FROM z WHERE cohort_size >= 5""",
+SELECT cohort, order_year, customers, customers / cohort_size * 100 AS pct FROM z""",
     "e15_clv_distribution": f"""
 WITH c AS (SELECT customer_id, CAST(SUM(final_amount_inr) AS DOUBLE) AS clv FROM {_F} GROUP BY customer_id),
 s AS (SELECT quantile_cont(clv, 0.99) AS cap, AVG(clv) AS mean, quantile_cont(clv, 0.5) AS median FROM c),

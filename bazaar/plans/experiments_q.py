@@ -32,7 +32,7 @@ SPARK = {
     "x9_ab_assignment": lambda sp, sf: X.assign_version(
         _ev(sp, sf).select(F.col("user_id").alias("customer_id")).distinct(), "customer_id", 0.5)
     .withColumn("bucket", X.ab_bucket(F.col("customer_id"))),
-    "x11_ab_outcomes": lambda sp, sf: X.materialize_outcomes(X.prediction_log(_ev(sp, sf)), _ev(sp, sf), WINDOW_DAYS)
+    "x11_ab_outcomes": lambda sp, sf: X.outcomes_to_date(X.prediction_log(_ev(sp, sf)), _ev(sp, sf), WINDOW_DAYS)
     .withColumn("outcome_date", F.col("outcome_date").cast("string")),
     "x12_ab_version_stats": lambda sp, sf: X.version_stats(_lab(sp, sf))
     .withColumn("mean_prob", F.round("mean_prob", 9)).withColumn("churn_rate", F.round("churn_rate", 9)),
@@ -51,12 +51,13 @@ preds AS (SELECT user_id AS customer_id, value / 500.0 AS churn_prob, ts AS pred
                  CASE WHEN {_BUCKET.format(k='user_id')} < 50 THEN 'challenger' ELSE 'champion' END AS model_version
           FROM events WHERE event_type <> 'purchase'),
 nowt AS (SELECT MAX(ts) AS now FROM events),
-firstp AS (SELECT customer_id, MIN(predicted_at) AS first_pred FROM preds, nowt
-           WHERE predicted_at <= now - INTERVAL {WINDOW_DAYS} DAY GROUP BY customer_id),
-outc AS (SELECT f.customer_id, f.first_pred, COUNT(e.ts) = 0 AS churned
-         FROM firstp f LEFT JOIN events e ON e.event_type = 'purchase' AND e.user_id = f.customer_id
-              AND e.ts >= f.first_pred AND e.ts < f.first_pred + INTERVAL {WINDOW_DAYS} DAY
-         GROUP BY f.customer_id, f.first_pred),
+days AS (SELECT user_id AS customer_id, CAST(ts AS DATE) AS d, ts FROM events WHERE event_type = 'purchase'),
+runs AS (SELECT p.customer_id, n.run, n.run_ts, CAST(MIN(p.predicted_at) AS DATE) AS d0
+         FROM preds p, (SELECT 1 AS run, now - INTERVAL {WINDOW_DAYS} DAY AS run_ts FROM nowt UNION ALL SELECT 2, now FROM nowt) n
+         WHERE p.predicted_at <= n.run_ts - INTERVAL {WINDOW_DAYS} DAY GROUP BY ALL),
+labels AS (SELECT r.*, NOT EXISTS (SELECT 1 FROM days x WHERE x.customer_id = r.customer_id AND x.ts <= r.run_ts
+                                   AND x.d >= r.d0 AND x.d < r.d0 + {WINDOW_DAYS}) AS churned FROM runs r),
+outc AS (SELECT customer_id, churned FROM labels WHERE run = 2),
 lab AS (SELECT p.*, CAST(o.churned AS INTEGER) AS label FROM preds p, nowt JOIN outc o ON p.customer_id = o.customer_id
         WHERE p.predicted_at <= now - INTERVAL {WINDOW_DAYS} DAY)"""
 
@@ -96,8 +97,8 @@ RAW = {
 SELECT customer_id, CASE WHEN b < 50 THEN 'challenger' ELSE 'champion' END AS model_version, b AS bucket
 FROM (SELECT DISTINCT user_id AS customer_id, {_BUCKET.format(k='user_id')} AS b FROM events) t""",
     "x11_ab_outcomes": "WITH " + _PREDS + f"""
-SELECT customer_id, churned, CAST(CAST(first_pred + INTERVAL {WINDOW_DAYS} DAY AS DATE) AS VARCHAR) AS outcome_date
-FROM outc""",
+SELECT customer_id, churned, CAST(CAST(run_ts AS DATE) AS VARCHAR) AS outcome_date
+FROM labels QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY run) = 1""",
     "x12_ab_version_stats": "WITH " + _PREDS + "," + _STATS + """
 SELECT model_version, n, ROUND(mean_prob, 9) AS mean_prob, ROUND(churn_rate, 9) AS churn_rate FROM st""",
     "x13_ab_auc": "WITH " + _PREDS + "," + _AUC + """

@@ -46,8 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint dir; set a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when nothing is configured (tests, local bench) do we create a fresh
-    scratch folder.
+    Only when nothing is configured and the session runs on one machine (tests,
+    local bench) do we create a fresh scratch folder; a cluster must name one.
     """
     sc = spark.sparkContext
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -57,12 +57,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     scratch = tempfile.mkdtemp(prefix="bazaar-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
 
 
+def cut(df):
+    """The same rows behind a reliable checkpoint in the shared folder: computed once, whoever reads them."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the session's checkpoint dir for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -148,6 +148,12 @@ def load_star(spark: SparkSession, sf_dir: str, exclude_sentinel: bool = True) -
     )
 
 
+def in_years(fact: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """Rows of whole years, as a range of dates: unlike a test of ``order_year``, it reaches the parquet scan."""
+    return fact.where((F.col("order_date") >= F.lit(f"{first_year}-01-01").cast("date"))
+                      & (F.col("order_date") < F.lit(f"{last_year + 1}-01-01").cast("date")))
+
+
 def dim_time(fact: DataFrame) -> DataFrame:
     """K4: one row per distinct order date after 1900 (Mon=0 weekday, weekend >= 5)."""
     d = fact.select("order_date").where(F.year("order_date") > 1900).distinct()

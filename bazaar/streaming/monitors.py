@@ -1,4 +1,4 @@
-"""Request / prediction monitoring as Structured Streaming jobs.
+"""Request / prediction monitoring as Structured Streaming jobs.
 
 The same window functions run on a batch DataFrame (for the oracle check) and
 on a streaming one.  Event time is ``ts``; the watermark bounds state: rows
@@ -54,7 +54,7 @@ def latency_quantile(metrics: DataFrame, q: float) -> DataFrame:
         hi_c = F.col(f"le_{i}")
         frac = (rank - lo_c) / F.when(hi_c > lo_c, hi_c - lo_c).otherwise(F.lit(1))
         est = F.lit(edges[i]) + (F.lit(edges[i + 1]) - F.lit(edges[i])) * frac
-        out = F.when((hi_c >= rank) & (out.isNull() | F.lit(True)), est).otherwise(out)
+        out = F.when(hi_c >= rank, est).otherwise(out)
     # beyond the last finite edge: the last edge (as a bucket histogram cannot say more)
     out = F.when(F.col(f"le_{len(LATENCY_EDGES) - 1}") < rank, F.lit(LATENCY_EDGES[-1])).otherwise(out)
     return metrics.select("window_start", "event_type", F.round(out, 9).alias(f"latency_q{int(q * 100)}"))
@@ -74,17 +74,22 @@ def score_histogram(events: DataFrame, window: str = "1 day", watermark: str = "
                     *[f"le_{i}" for i in range(len(SCORE_EDGES))])
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table read as a file stream (schema taken from the batch table)."""
+def events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The events table read as a file stream (schema taken from the batch table); ``max_files`` limits a micro-batch."""
     schema = read_table(spark, sf_dir, "events").schema
     # a file stream watches a directory; pick the events file(s) in it
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-            .option("pathGlobFilter", "events*.parquet").parquet(sf_dir.rstrip("/")))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(sf_dir.rstrip("/"))
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append", sink_dir: str | None = None):
     """Run a streaming DataFrame to completion (Trigger.AvailableNow) into a parquet sink.
 
+    In append mode windows that the watermark has not closed at the end of the input stay in the state: the sink
+    holds the windows that end at or before the greatest event time less the watermark, and the next run adds the rest.
+
     Checkpoint and sink live under the session's checkpoint dir (a shared
     folder on a cluster), so a restarted query resumes from its offsets and
     state instead of starting over.
