@@ -348,3 +348,16 @@ def brand_price_boxes(fact: DataFrame, products: DataFrame, k: int = 10, max_pri
     b = box_stats(f, "brand", "original_price_inr")
     return b.select("brand", "n", *[F.round(c, 6).alias(c) for c in ["q1", "median", "q3", "whisker_low",
                                                                        "whisker_high"]])
+
+
+def age_pivot(age_subcategory: DataFrame) -> DataFrame:
+    """The known age groups in their order with every subcategory, missing pairs as 0 (long form of the pivot).
+
+    ``age_subcategory(customer_age_group, subcategory, revenue_m)`` has a row per pair, so the pivot is small.
+    """
+    known = age_subcategory.where(F.col("customer_age_group").isin(*AGE_ORDER))
+    wide = known.groupBy("customer_age_group").pivot("subcategory").agg(F.sum("revenue_m")).na.fill(0.0)
+    names = [c for c in wide.columns if c != "customer_age_group"]
+    order = F.array_position(F.array(*map(F.lit, AGE_ORDER)), F.col("customer_age_group")).cast("int") - 1
+    long = wide.unpivot(["customer_age_group"], names, "subcategory", "revenue_m")
+    return long.withColumn("age_order", order).orderBy("age_order", "subcategory")

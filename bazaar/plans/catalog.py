@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 # registry modules, each exposing SPARK (and optionally ORACLE) dicts
-_MODULES = ["named", "derived_q", "eda_q", "etl_q", "features_q", "baskets_q", "experiments_q", "streaming_q", "models_q"]
+_MODULES = ["named", "derived_q", "eda_q", "etl_q", "features_q", "baskets_q", "experiments_q", "streaming_q", "models_q",
+            "loading_q", "churn_q", "pricing_q", "quality_q"]
 
 
 def _load():
@@ -20,7 +21,7 @@ def _load():
         if dup:
             raise ValueError(f"duplicate query ids {sorted(dup)}")
         spark_q.update(mod.SPARK)
-        oracle.update(getattr(mod, "ORACLE", {}))
+        oracle.update(mod.ORACLE if hasattr(mod, "ORACLE") else {})
     missing = set(oracle) - set(spark_q)
     if missing:
         raise ValueError(f"oracle without query: {sorted(missing)}")
