@@ -28,7 +28,7 @@ def source_year(path: str) -> int | None:
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> list[tuple[str, int]]:
-    """Paths and sizes of a folder's files that match, by path; read by Spark, so any file system will do."""
+    """Paths and sizes of a folder's files that match and hold anything, by path; listed by Spark on any file system."""
     try:
         found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "length")
         return sorted((r["path"], r["length"]) for r in found.collect())  # one row a file
@@ -45,13 +45,13 @@ def read_sales(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
     if not files:
         raise FileNotFoundError(f"no file {pattern!r} in {folder}")
     parts: list[DataFrame] = []
-    for path, size in files:
+    for path, _ in files:
         try:
-            df = spark.read.options(**CSV_OPTIONS).csv(path) if size else None
+            df = spark.read.options(**CSV_OPTIONS).csv(path)
         except AnalysisException as e:
             log.warning("skipped %s: %s", path, e)
             continue
-        if df is None or df.isEmpty():
+        if df.isEmpty():
             log.warning("skipped empty file %s", path)
             continue
         df = df.toDF(*[column_name(c) for c in df.columns])
