@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import cut
+
 def _all():
     return Window.partitionBy()  # whole-table window; only used on aggregated tables
 
@@ -107,7 +109,9 @@ def revenue_retention(disc: DataFrame) -> DataFrame:
 # D5 ----------------------------------------------------------------------------------
 
 def health_scorecard(yearly: DataFrame, alert: DataFrame, newcust: DataFrame, disc: DataFrame) -> DataFrame:
-    """RAG scorecard rows (item, value, status) from four small query outputs."""
+    """RAG scorecard rows (item, value, status) from four small query outputs (a row per year at most), each
+    computed once."""
+    yearly, alert, newcust, disc = map(cut, (yearly, alert, newcust, disc))
     g = yearly_growth(yearly).where(F.col("yoy_pct").isNotNull()).agg(
         F.max_by("yoy_pct", "order_year").alias("v")).where(F.col("v").isNotNull())
     growth = g.select(F.lit("revenue_growth").alias("item"), F.col("v").alias("value"),
@@ -285,8 +289,10 @@ def transaction_vs_population(fact: DataFrame, summary: DataFrame) -> DataFrame:
     The one-row summary enters as scalar subqueries (evaluated once, then used
     as constants), so no join is planned.
     """
+    row = summary.select(F.struct(*summary.columns)).scalar()
+
     def sc(c):
-        return summary.select(c).scalar()
+        return row[c]
 
     d = F.col("discount_percent").cast("double")
     return fact.select(

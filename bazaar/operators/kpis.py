@@ -211,14 +211,20 @@ def transaction_sample(fact: DataFrame, n: int = 3000) -> DataFrame:
 # --------------------------------------------------------------------------- recommendations page
 
 def popular_subcategories(fact: DataFrame, products: DataFrame, limit: int = 15) -> DataFrame:
-    """Q-POP: distinct baskets and customers per subcategory (join first: not additive)."""
+    """Q-POP: distinct baskets and customers per subcategory.
+
+    Lines are first reduced to (subcategory, customer, basket), then to (subcategory, customer): a basket has one
+    customer, so baskets and customers are counted as rows and no line is expanded for a distinct count.
+    """
     j = fact.select("product_id", "transaction_id", "customer_id", "final_amount_inr").join(
         products.select("product_id", "subcategory").where(F.col("subcategory").isNotNull()), "product_id")
+    baskets = j.groupBy("subcategory", "customer_id", "transaction_id").agg(F.sum("final_amount_inr").alias("_rev"))
+    buyers = baskets.groupBy("subcategory", "customer_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rev").alias("_rev"))
     return (
-        j.groupBy("subcategory").agg(
-            F.countDistinct("transaction_id").alias("order_count"),
-            F.countDistinct("customer_id").alias("customer_count"),
-            (dsum("final_amount_inr") / 1e6).alias("revenue_m"),
+        buyers.groupBy("subcategory").agg(
+            F.sum("_n").alias("order_count"),
+            F.count("customer_id").alias("customer_count"),
+            (dsum("_rev") / 1e6).alias("revenue_m"),
         )
         .orderBy(F.desc("order_count"), "subcategory")
         .limit(limit)
@@ -241,26 +247,22 @@ def copurchase_matrix(fact: DataFrame, products: DataFrame, k: int = 8, bucket_w
     same basket by a window over bucket totals (one row per bucket).  Work is
     linear in the number of lines times k.
     """
+    # the k names with their place; they stay in the plan, so nothing runs while it is built
     top = (
         fact.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
         .join(products.select("product_id", "subcategory").where(F.col("subcategory").isNotNull()), "product_id")
         .groupBy("subcategory").agg(F.sum("_n").alias("_n"))
         .orderBy(F.desc("_n"), "subcategory").limit(k)
-        .select("subcategory")
     )
-    cats = [r[0] for r in top.collect()]  # k names, bounded by the parameter
-    if not cats:
-        return fact.sparkSession.createDataFrame([], "cat_a string, cat_b string, co_count bigint")
+    top = top.select("subcategory", (F.row_number().over(Window.orderBy(F.desc("_n"), "subcategory")) - 1).alias("idx"))
+    wanted = products.select("product_id", "subcategory").join(F.broadcast(top), "subcategory").select("product_id", "idx")
     lines = (
-        fact.select("transaction_id", "product_id")
-        .join(products.select("product_id", "subcategory").where(F.col("subcategory").isin(cats)), "product_id")
-        .groupBy("transaction_id", "product_id", "subcategory").agg(F.count(F.lit(1)).alias("n"))
+        fact.select("transaction_id", "product_id").join(wanted, "product_id")
+        .groupBy("transaction_id", "product_id", "idx").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bucket", F.floor(F.col("product_id") / bucket_width))
     )
-    idx = {c: i for i, c in enumerate(cats)}
-    ind = [F.when(F.col("subcategory") == c, F.col("n")).otherwise(F.lit(0)).cast("bigint") for c in cats]
-    lines = lines.select("*", *[e.alias(f"c{idx[c]}") for e, c in zip(ind, cats)])
-    cnames = [f"c{i}" for i in range(len(cats))]
+    lines = lines.select("*", *[F.when(F.col("idx") == i, F.col("n")).otherwise(F.lit(0)).cast("bigint").alias(f"c{i}") for i in range(k)])
+    cnames = [f"c{i}" for i in range(k)]
     # level 1: within (basket, bucket), lines with a larger product id (strictly)
     w_in = (Window.partitionBy("transaction_id", "bucket").orderBy(F.desc("product_id"))
             .rangeBetween(Window.unboundedPreceding, -1))
@@ -270,21 +272,17 @@ def copurchase_matrix(fact: DataFrame, products: DataFrame, k: int = 8, bucket_w
            .rowsBetween(Window.unboundedPreceding, -1))
     bsuf = btot.select("transaction_id", "bucket",
                        *[F.coalesce(F.sum(f"t{c}").over(w_b), F.lit(0)).alias(f"b{c}") for c in cnames])
-    suf = lines.select("transaction_id", "bucket", "subcategory", "n",
+    suf = lines.select("transaction_id", "bucket", "idx", "n",
                        *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"s{c}") for c in cnames])
     suf = suf.join(bsuf, ["transaction_id", "bucket"])
-    per_a = suf.groupBy("subcategory").agg(
+    per_a = suf.groupBy("idx").agg(
         *[F.sum(F.col("n") * (F.col(f"s{c}") + F.col(f"b{c}"))).alias(c) for c in cnames]
     )
-    stack = ", ".join(f"'{cats[i].replace(chr(39), chr(39) * 2)}', c{i}" for i in range(len(cats)))
-    pairs = (
-        per_a.selectExpr("subcategory AS cat_a", f"stack({len(cats)}, {stack}) AS (cat_b, co_count)")
-        .where(F.col("co_count") > 0)
-    )
-    return (
-        pairs.unionByName(pairs.select(F.col("cat_b").alias("cat_a"), F.col("cat_a").alias("cat_b"), "co_count"))
-        .orderBy("cat_a", "cat_b")
-    )
+    counts = per_a.selectExpr("idx AS a", f"stack({k}, " + ", ".join(f"{i}, c{i}" for i in range(k)) + ") AS (b, co_count)")
+    names = lambda col, name: F.broadcast(top.select(F.col("idx").alias(col), F.col("subcategory").alias(name)))
+    pairs = counts.where(F.col("co_count") > 0).join(names("a", "cat_a"), "a").join(names("b", "cat_b"), "b")
+    both = F.explode(F.array(F.struct("cat_a", "cat_b"), F.struct(F.col("cat_b").alias("cat_a"), F.col("cat_a").alias("cat_b"))))
+    return pairs.select(both.alias("p"), "co_count").select("p.*", "co_count").orderBy("cat_a", "cat_b")
 
 
 # --------------------------------------------------------------------------- festival & seasonal
@@ -571,36 +569,21 @@ def anomaly_summary(fact: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- executive dashboard
 
 def current_month_perf(fact: DataFrame) -> DataFrame:
-    """Q-CURMONTH: latest year-month vs the same month a year earlier (yyyymm with integer div).
+    """Q-CURMONTH: latest year-month vs the same month a year earlier.
 
-    One small per-month table is built; the latest month is found by a window
-    over it (one row per month), and only that month's rows are re-read (by a
-    semi-join) to count its distinct customers.  No cross join.
+    One pass builds a row per month; the latest is the first by year and month, and the same month of the year before
+    lies exactly 100 below it in yyyymm, so a range window over the months finds it.  No join.
     """
-    ym = F.col("order_year") * 100 + F.col("order_month")
     monthly = fact.groupBy("order_year", "order_month").agg(
-        F.sum("final_amount_inr").alias("_rev"), F.count(F.lit(1)).alias("_n"))
-    marked = monthly.withColumn("ym", ym).withColumn("latest", F.max("ym").over(Window.partitionBy()))
-    latest = marked.where(F.col("ym") == F.col("latest")).select("ym")
-    cur = (
-        fact.withColumn("ym", ym).join(latest, "ym", "left_semi")
-        .groupBy("ym", "order_year", "order_month").agg(
-            (dsum("final_amount_inr") / 1e6).alias("rev_m"),
-            F.count(F.lit(1)).alias("orders"),
-            F.countDistinct("customer_id").alias("customers"),
-            dmean("final_amount_inr").alias("aov"),
-        )
-    )
-    prev_of = (F.expr("latest div 100") - 1) * 100 + F.col("latest") % 100
-    prev = (
-        marked.where(F.col("ym") == prev_of)
-        .groupBy(F.col("latest").alias("ym"))
-        .agg((F.sum("_rev").cast("double") / 1e6).alias("rev_m_prev"), F.sum("_n").alias("orders_prev"))
-    )
-    return cur.join(prev, "ym", "left").select(
-        "order_year", "order_month", "rev_m", "orders", "customers", "aov", "rev_m_prev",
-        F.coalesce("orders_prev", F.lit(0)).cast("bigint").alias("orders_prev"),
-    )
+        F.sum("final_amount_inr").alias("_rev"), F.count(F.lit(1)).alias("orders"),
+        F.countDistinct("customer_id").alias("customers"), dmean("final_amount_inr").alias("aov"))
+    ym = F.col("order_year") * 100 + F.col("order_month")
+    ago = Window.orderBy("ym").rangeBetween(-100, -100)  # over one row per month
+    m = monthly.withColumn("ym", ym).select(
+        "*", F.max("_rev").over(ago).alias("_prev"), F.max("orders").over(ago).alias("_n_prev"))
+    return m.orderBy(F.desc("ym")).limit(1).select(
+        "order_year", "order_month", (F.col("_rev").cast("double") / 1e6).alias("rev_m"), "orders", "customers", "aov",
+        (F.col("_prev").cast("double") / 1e6).alias("rev_m_prev"), F.coalesce("_n_prev", F.lit(0)).cast("bigint").alias("orders_prev"))
 
 
 def yearly_revenue(fact: DataFrame, first_year: int = 1995, last_year: int = 2001) -> DataFrame:

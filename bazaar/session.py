@@ -7,7 +7,6 @@ Library code never sets cluster sizing; it only reads what the session holds.
 from __future__ import annotations
 
 import os
-import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -66,14 +65,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or scratch
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, for sessions whose workers do not have it installed."""
-    root = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory(prefix="bazaar-ship-") as scratch:  # read by the driver only
-        archive = shutil.make_archive(os.path.join(scratch, "bazaar"), "zip", os.path.dirname(root), os.path.basename(root))
-        spark.addArtifact(archive, pyfile=True) if hasattr(spark, "client") else spark.sparkContext.addPyFile(archive)
-
-
 def cut(df):
     """The same rows behind a reliable checkpoint in the shared folder: computed once, whoever reads them."""
     ensure_checkpoint_dir(df.sparkSession)
