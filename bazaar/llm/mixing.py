@@ -4,8 +4,9 @@ A classifier fitted on the labelled table gives every document a posterior over
 several domains in part.  Nonnegative document rates are then fitted by projected-gradient least squares such that the
 expected tokens of each domain, the sum of rate x tokens x posterior, match the targets.
 
-Classifier: multinomial logistic regression with an elastic-net penalty over hashed words (present or not) and marks
-of unusual text; it is fitted on at most about ``SAMPLE`` labelled documents.  Scoring is part of a scan.
+Classifier: multinomial logistic regression with an elastic-net penalty over hashed words and word ends, present or
+not; it is fitted on at most about ``SAMPLE`` labelled documents.  Scoring is part of a scan: a document's score sums
+the weights of its buckets, which are read off an array of a fixed size.
 
 Rates: the gradient of a document depends on it only by its posterior and on the corpus by one residual per domain.
 So a step is one aggregate over (tokens, posterior), and a document's rate is the replay of the residuals so far: no
@@ -23,55 +24,55 @@ the rows as they are); other columns are ignored.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import ROW, WORD_BREAKS, cut, packed, stored, unpacked
+from bazaar.llm.common import ROW, cut, packed, stored, unpacked
 
-BUCKETS = 1 << 16
-SAMPLE = 50_000
-PENALTY, SPARSE = 0.002, 0.9  # strength of the penalty, and the part of it on absolute weights
+BREAKS = r"[\x20\x09-\x0D.,]+"
+BUCKETS = 1 << 17
+SAMPLE = 20_000
+RARE = 2_500  # a bucket takes part if one in so many labelled documents has it, and two at least
+PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 40  # strength of the penalty, the part of it on absolute weights, iterations
 STEPS, SETTLED = 60, 1e-7
 
 #: Domain of a labelled row.
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' WHEN quality = 1 THEN 'good' END"
 
 
-def _words(text: Column) -> Column:
-    """Words in lower case, without full stops and commas."""
-    return F.array_remove(F.split(F.lower(F.translate(text, ".,", "")), WORD_BREAKS, -1), "")
-
-
-def _terms(text: Column) -> Column:
-    """What the classifier sees: the words, and marks of text with many symbols or capitals."""
-    n = F.length(text)
-    symbols = n - F.length(F.translate(text, "#*$%&|<>!", ""))
-    capitals = n - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    marks = F.array(F.when(20 * symbols > n, F.lit("\x00symbols")), F.when(3 * capitals > n, F.lit("\x00capitals")))
-    return F.concat(F.col("_words"), F.array_compact(marks))
+def _featured(rows: DataFrame) -> DataFrame:
+    """``rows(_text, ...)`` with ``_tokens`` and ``_b``, the distinct buckets (from 1) of words and of word ends."""
+    words = F.array_remove(F.split("_text", BREAKS, -1), "")
+    bucket = lambda *h: (F.pmod(F.xxhash64(*h), F.lit(BUCKETS)) + 1).cast("int")
+    whole = F.transform("_words", lambda w: bucket(w))
+    ends = F.transform("_words", lambda w: bucket(F.lit("~"), F.substring(w, -2, 2)))
+    rows = rows.withColumn("_words", words).withColumn("_tokens", F.size("_words").cast("long"))
+    return rows.withColumn("_b", F.array_distinct(F.concat(whole, ends))).drop("_words")
 
 
 class Classifier:
-    """Posteriors over ``domains`` of a text column."""
-
-    def __init__(self, domains: list[str], model):
-        self.domains, self.model = domains, model
-        self.hashing = HashingTF(inputCol="_terms", outputCol="_x", numFeatures=BUCKETS, binary=True)
+    """Posteriors over ``domains``: a weight per domain and bucket, and an intercept per domain."""
 
-    def features(self, rows: DataFrame) -> DataFrame:
-        rows = rows.withColumn("_words", _words(F.col("_text"))).withColumn("_tokens", F.size("_words").cast("long"))
-        return self.hashing.transform(rows.withColumn("_terms", _terms(F.col("_text"))))
+    def __init__(self, domains: list[str], weights: np.ndarray, intercepts: np.ndarray):
+        self.domains, self.weights, self.intercepts = domains, weights, intercepts
 
     def posteriors(self, rows: DataFrame) -> DataFrame:
         """``rows(_text, ...)`` with ``_tokens`` and ``_p``, the posteriors in the order of the domains."""
         names = rows.columns
-        seen = self.features(rows)
-        if self.model is None:
-            return seen.select(*names, "_tokens", F.array(F.lit(1.0)).alias("_p"))
-        return self.model.transform(seen).select(*names, "_tokens", vector_to_array("_probability").alias("_p"))
+        k = range(len(self.domains))
+        # the weights are one row of arrays of a fixed size; a bucket's weight is read off by its place
+        table = rows.sparkSession.createDataFrame([[self.weights[i].tolist() for i in k]], ", ".join(f"w{i} array<double>" for i in k))
+        rows = _featured(rows).withColumns({f"_w{i}": table.select(f"w{i}").scalar() for i in k})
+
+        def score(i: int) -> Column:
+            return F.aggregate("_b", F.lit(float(self.intercepts[i])), lambda a, b: a + F.element_at(f"_w{i}", b))
+
+        rows = rows.withColumn("_s", F.array(*map(score, k))).withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))
+        whole = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
+        return rows.select(*names, "_tokens", F.transform("_e", lambda x: x / whole).alias("_p"))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -85,18 +86,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     part = F.pmod(F.xxhash64(F.lit("mixing"), "doc_id"), F.lit(1_000_000))
     known = known.where(part < round(min(1.0, SAMPLE / max(n, 1)) * 1_000_000)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
     rows = stored(_rows(docs).join(F.broadcast(known), "doc_id"))  # at most about SAMPLE labels
-    domains = sorted(r["domain"] for r in rows.select("domain").distinct().collect())
-    if not domains:
-        return None
-    blank = Classifier(domains, None)
-    if len(domains) == 1:
-        return blank
+    counts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    domains = sorted(counts)
+    weights = np.zeros((len(domains), BUCKETS))
+    if len(domains) < 2:
+        return Classifier(domains, weights, np.zeros(len(domains))) if domains else None
     label = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("double") - 1
-    lr = LogisticRegression(
-        featuresCol="_x", labelCol="_label", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_best",
-        family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE, maxIter=60, standardization=False,
-    )
-    return Classifier(domains, lr.fit(blank.features(rows).select("_x", label.alias("_label"))))
+    seen = stored(_featured(rows).select(label.alias("_label"), F.col("_b").cast("array<string>").alias("_b")))
+    terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS).fit(seen)
+    lr = LogisticRegression(featuresCol="_x", labelCol="_label", family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE,
+                            maxIter=ROUNDS, standardization=False)
+    model = lr.fit(terms.transform(seen).select("_x", "_label").coalesce(8))
+    weights[:, [int(b) - 1 for b in terms.vocabulary]] = model.coefficientMatrix.toArray()
+    return Classifier(domains, weights, model.interceptVector.toArray())
 
 
 def _rate(history: list[list[float]]) -> Column:
