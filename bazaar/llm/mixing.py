@@ -4,9 +4,9 @@ A classifier fitted on the labelled table gives every document a posterior over
 several domains in part.  Nonnegative document rates are then fitted by projected-gradient least squares such that the
 expected tokens of each domain, the sum of rate x tokens x posterior, match the targets.
 
-Classifier: multinomial logistic regression with an elastic-net penalty over hashed words and word ends, present or
-not; it is fitted on at most about ``SAMPLE`` labelled documents.  Scoring is part of a scan: a document's score sums
-the weights of its buckets, which are read off an array of a fixed size.
+Classifier: multinomial logistic regression with an elastic-net penalty over hashed words and doubled signs, present
+or not; it is fitted on at most about ``SAMPLE`` labelled documents.  Scoring is part of a scan: a document's score
+sums the weights of its buckets, which are read off an array of a fixed size.
 
 Rates: the gradient of a document depends on it only by its posterior and on the corpus by one residual per domain.
 So a step is one aggregate over (tokens, posterior), and a document's rate is the replay of the residuals so far: no
@@ -34,7 +34,8 @@ from bazaar.llm.common import ROW, cut, packed, stored, unpacked
 
 BREAKS = r"[\x20\x09-\x0D.,]+"
 BUCKETS = 1 << 17
-SAMPLE = 20_000
+SIGNS = "!#$%&*|?"
+SAMPLE = 10_000
 RARE = 2_500  # a bucket takes part if one in so many labelled documents has it, and two at least
 PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 40  # strength of the penalty, the part of it on absolute weights, iterations
 STEPS, SETTLED = 60, 1e-7
@@ -44,13 +45,16 @@ DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' WHEN qual
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    """``rows(_text, ...)`` with ``_tokens`` and ``_b``, the distinct buckets (from 1) of words and of word ends."""
+    """``rows(_text, ...)`` with ``_tokens`` and ``_b``: the distinct buckets (from 1) of words, and those of the signs
+    that stand doubled in more than one of fifty places."""
     words = F.array_remove(F.split("_text", BREAKS, -1), "")
-    bucket = lambda *h: (F.pmod(F.xxhash64(*h), F.lit(BUCKETS)) + 1).cast("int")
-    whole = F.transform("_words", lambda w: bucket(w))
-    ends = F.transform("_words", lambda w: bucket(F.lit("~"), F.substring(w, -2, 2)))
+    bucket = F.transform("_words", lambda w: (F.pmod(F.xxhash64(w), F.lit(BUCKETS)) + 1).cast("int"))
+    n = F.length("_text")
+    marks = F.array_compact(F.array(*[
+        F.when(50 * (n - F.length(F.replace("_text", F.lit(2 * sign)))) > n, F.lit(BUCKETS + i + 1)) for i, sign in enumerate(SIGNS)
+    ]))
     rows = rows.withColumn("_words", words).withColumn("_tokens", F.size("_words").cast("long"))
-    return rows.withColumn("_b", F.array_distinct(F.concat(whole, ends))).drop("_words")
+    return rows.withColumn("_b", F.concat(F.array_distinct(bucket), marks)).drop("_words")
 
 
 class Classifier:
@@ -62,15 +66,18 @@ class Classifier:
     def posteriors(self, rows: DataFrame) -> DataFrame:
         """``rows(_text, ...)`` with ``_tokens`` and ``_p``, the posteriors in the order of the domains."""
         names = rows.columns
-        k = range(len(self.domains))
-        # the weights are one row of arrays of a fixed size; a bucket's weight is read off by its place
-        table = rows.sparkSession.createDataFrame([[self.weights[i].tolist() for i in k]], ", ".join(f"w{i} array<double>" for i in k))
+        # only differences count, so the first domain scores 0; the others' weights are one row of arrays of a fixed
+        # size, and a bucket's weight is read off by its place
+        k = range(1, len(self.domains))
+        if not k:
+            return _featured(rows).select(*names, "_tokens", F.array(F.lit(1.0)).alias("_p"))
+        table = rows.sparkSession.createDataFrame([[(self.weights[i] - self.weights[0]).tolist() for i in k]], ", ".join(f"w{i} array<double>" for i in k))
         rows = _featured(rows).withColumns({f"_w{i}": table.select(f"w{i}").scalar() for i in k})
 
         def score(i: int) -> Column:
-            return F.aggregate("_b", F.lit(float(self.intercepts[i])), lambda a, b: a + F.element_at(f"_w{i}", b))
+            return F.aggregate("_b", F.lit(float(self.intercepts[i] - self.intercepts[0])), lambda a, b: a + F.element_at(f"_w{i}", b))
 
-        rows = rows.withColumn("_s", F.array(*map(score, k))).withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))
+        rows = rows.withColumn("_s", F.array(F.lit(0.0), *map(score, k))).withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))
         whole = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
         return rows.select(*names, "_tokens", F.transform("_e", lambda x: x / whole).alias("_p"))
 
@@ -88,12 +95,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     rows = stored(_rows(docs).join(F.broadcast(known), "doc_id"))  # at most about SAMPLE labels
     counts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = sorted(counts)
-    weights = np.zeros((len(domains), BUCKETS))
+    weights = np.zeros((len(domains), BUCKETS + len(SIGNS)))
     if len(domains) < 2:
         return Classifier(domains, weights, np.zeros(len(domains))) if domains else None
     label = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("double") - 1
     seen = stored(_featured(rows).select(label.alias("_label"), F.col("_b").cast("array<string>").alias("_b")))
-    terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS).fit(seen)
+    terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS + len(SIGNS)).fit(seen)
     lr = LogisticRegression(featuresCol="_x", labelCol="_label", family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE,
                             maxIter=ROUNDS, standardization=False)
     model = lr.fit(terms.transform(seen).select("_x", "_label").coalesce(8))
