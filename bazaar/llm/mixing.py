@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from bazaar.llm.common import ROW, cut, packed, stored, unpacked
 
 BREAKS = r"[\x20\x09-\x0D.,]+"
-BUCKETS = 1 << 17
+BUCKETS = 1 << 16
 SIGNS = "!#$%&*|?"
 SAMPLE = 10_000
 RARE = 2_500  # a bucket takes part if one in so many labelled documents has it, and two at least
@@ -173,9 +173,9 @@ def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: fl
     rows = packed(docs, "doc_id", "text").select(
         ROW, "doc_id", F.xxhash64("text").alias("_hash"), F.coalesce("text", F.lit("")).alias("_text")
     )
-    scored = model.posteriors(rows)
-    members = cut(scored.select("_tokens", "_p"))
-    rate = _rate(fit_rates(members, targets_of(members, model.domains, None, shares)))
+    # written once with the posteriors: the steps read the narrow columns, the draw reads the rows
+    scored = stored(model.posteriors(rows).drop("_text"))
+    rate = _rate(fit_rates(scored, targets_of(scored, model.domains, None, shares)))
     near = F.when(F.abs(F.col("_rate") - F.round("_rate")) <= snap, F.round("_rate")).otherwise(F.col("_rate"))
     draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "_hash"), F.lit(1 << 30)) / float(1 << 30)
     times = scored.withColumn("_rate", rate).withColumn("_times", F.floor(near + draw).cast("int"))
