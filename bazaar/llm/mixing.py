@@ -36,8 +36,8 @@ BREAKS = r"[\x20\x09-\x0D.,]+"
 BUCKETS = 1 << 16
 SIGNS = "!#$%&*|?"
 SAMPLE = 10_000
-RARE = 2_500  # a bucket takes part if one in so many labelled documents has it, and two at least
-PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 40  # strength of the penalty, the part of it on absolute weights, iterations
+RARE = 400  # a bucket takes part if one in so many labelled documents has it, and two at least
+PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 30  # strength of the penalty, the part of it on absolute weights, iterations
 STEPS, SETTLED = 60, 1e-7
 
 #: Domain of a labelled row.
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS + len(SIGNS)).fit(seen)
     lr = LogisticRegression(featuresCol="_x", labelCol="_label", family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE,
                             maxIter=ROUNDS, standardization=False)
-    model = lr.fit(terms.transform(seen).select("_x", "_label").coalesce(8))
+    model = lr.fit(terms.transform(seen).select("_x", "_label").coalesce(4))
     weights[:, [int(b) - 1 for b in terms.vocabulary]] = model.coefficientMatrix.toArray()
     return Classifier(domains, weights, model.interceptVector.toArray())
 
