@@ -34,7 +34,7 @@ from bazaar.llm.common import ROW, cut, packed, stored, unpacked
 
 BREAKS = r"[\x20\x09-\x0D.,]+"
 BUCKETS = 1 << 16
-SIGNS = "!#$%&*|?"
+SIGNS = r"([!#$%&*|?])\1"
 SAMPLE = 10_000
 RARE = 400  # a bucket takes part if one in so many labelled documents has it, and two at least
 PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 30  # strength of the penalty, the part of it on absolute weights, iterations
@@ -45,16 +45,17 @@ DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' WHEN qual
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    """``rows(_text, ...)`` with ``_tokens`` and ``_b``: the distinct buckets (from 1) of words, and those of the signs
-    that stand doubled in more than one of fifty places."""
-    words = F.array_remove(F.split("_text", BREAKS, -1), "")
-    bucket = F.transform("_words", lambda w: (F.pmod(F.xxhash64(w), F.lit(BUCKETS)) + 1).cast("int"))
-    n = F.length("_text")
-    marks = F.array_compact(F.array(*[
-        F.when(50 * (n - F.length(F.replace("_text", F.lit(2 * sign)))) > n, F.lit(BUCKETS + i + 1)) for i, sign in enumerate(SIGNS)
-    ]))
-    rows = rows.withColumn("_words", words).withColumn("_tokens", F.size("_words").cast("long"))
-    return rows.withColumn("_b", F.concat(F.array_distinct(bucket), marks)).drop("_words")
+    """``rows(_text, ...)`` with ``_tokens`` and ``_b``: the distinct buckets (from 0) of words, and one more where more
+    than one of fifty places has a sign doubled."""
+    rows = rows.withColumn("_words", F.split("_text", BREAKS, -1))
+    # the breaks are runs, so only the first and the last piece can be empty; these count as no token
+    blank = lambda w: (w == "").cast("int")
+    size = F.size("_words")
+    tokens = size - blank(F.get("_words", F.lit(0))) - F.when(size > 1, blank(F.get("_words", size - 1))).otherwise(0)
+    buckets = F.array_distinct(F.transform("_words", lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1))))
+    doubled = F.when(50 * F.regexp_count("_text", F.lit(SIGNS)) > F.length("_text"), F.array(F.lit(BUCKETS).cast("long")))
+    rows = rows.withColumn("_tokens", tokens.cast("long"))
+    return rows.withColumn("_b", F.concat(buckets, F.coalesce(doubled, F.array().cast("array<bigint>")))).drop("_words")
 
 
 class Classifier:
@@ -75,7 +76,7 @@ class Classifier:
         rows = _featured(rows).withColumns({f"_w{i}": table.select(f"w{i}").scalar() for i in k})
 
         def score(i: int) -> Column:
-            return F.aggregate("_b", F.lit(float(self.intercepts[i] - self.intercepts[0])), lambda a, b: a + F.element_at(f"_w{i}", b))
+            return F.aggregate("_b", F.lit(float(self.intercepts[i] - self.intercepts[0])), lambda a, b: a + F.get(f"_w{i}", b))
 
         rows = rows.withColumn("_s", F.array(F.lit(0.0), *map(score, k))).withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))
         whole = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
@@ -95,16 +96,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     rows = stored(_rows(docs).join(F.broadcast(known), "doc_id"))  # at most about SAMPLE labels
     counts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = sorted(counts)
-    weights = np.zeros((len(domains), BUCKETS + len(SIGNS)))
+    weights = np.zeros((len(domains), BUCKETS + 1))
     if len(domains) < 2:
         return Classifier(domains, weights, np.zeros(len(domains))) if domains else None
     label = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("double") - 1
     seen = stored(_featured(rows).select(label.alias("_label"), F.col("_b").cast("array<string>").alias("_b")))
-    terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS + len(SIGNS)).fit(seen)
+    terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS + 1).fit(seen)
     lr = LogisticRegression(featuresCol="_x", labelCol="_label", family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE,
                             maxIter=ROUNDS, standardization=False)
     model = lr.fit(terms.transform(seen).select("_x", "_label").coalesce(4))
-    weights[:, [int(b) - 1 for b in terms.vocabulary]] = model.coefficientMatrix.toArray()
+    weights[:, [int(b) for b in terms.vocabulary]] = model.coefficientMatrix.toArray()
     return Classifier(domains, weights, model.interceptVector.toArray())
 
 
