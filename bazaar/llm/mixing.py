@@ -4,8 +4,9 @@ A classifier fitted on the labelled table gives every document a posterior over
 several domains in part.  Nonnegative document rates are then fitted by projected-gradient least squares such that the
 expected tokens of each domain, the sum of rate x tokens x posterior, match the targets.
 
-Classifier: multinomial logistic regression with an elastic-net penalty over hashed words and doubled signs, present
-or not; it is fitted on at most about ``SAMPLE`` labelled documents.  Scoring is part of a scan: a document's score
+Classifier: multinomial logistic regression with an elastic-net penalty over hashed words (case folded, cut at
+everything but letters and digits) and doubled signs, present or not; it is fitted on at most about ``SAMPLE`` labelled
+documents.  Scoring is part of a scan: a document's score
 sums the weights of its buckets, which are read off an array of a fixed size.
 
 Rates: the gradient of a document depends on it only by its posterior and on the corpus by one residual per domain.
@@ -32,11 +33,12 @@ from pyspark.sql import functions as F
 
 from bazaar.llm.common import ROW, cut, packed, stored, unpacked
 
-BREAKS = r"[\x20\x09-\x0D.,]+"
+PIECES = r"[^\x20\x09-\x0D.,]+"  # counted as tokens
+BREAKS = r"[^\p{L}\p{M}\p{N}]+"  # between the classifier's words
 BUCKETS = 1 << 16
 SIGNS = r"([!#$%&*|?])\1"
 SAMPLE = 10_000
-RARE = 400  # a bucket takes part if one in so many labelled documents has it, and two at least
+RARE = 2500  # a bucket takes part if one in so many labelled documents has it, and two at least
 PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 30  # strength of the penalty, the part of it on absolute weights, iterations
 STEPS, SETTLED = 60, 1e-7
 
@@ -47,15 +49,11 @@ DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' WHEN qual
 def _featured(rows: DataFrame) -> DataFrame:
     """``rows(_text, ...)`` with ``_tokens`` and ``_b``: the distinct buckets (from 0) of words, and one more where more
     than one of fifty places has a sign doubled."""
-    rows = rows.withColumn("_words", F.split("_text", BREAKS, -1))
-    # the breaks are runs, so only the first and the last piece can be empty; these count as no token
-    blank = lambda w: (w == "").cast("int")
-    size = F.size("_words")
-    tokens = size - blank(F.get("_words", F.lit(0))) - F.when(size > 1, blank(F.get("_words", size - 1))).otherwise(0)
-    buckets = F.array_distinct(F.transform("_words", lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1))))
+    words = F.split(F.lower("_text"), BREAKS, -1)
+    buckets = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1))))
     doubled = F.when(50 * F.regexp_count("_text", F.lit(SIGNS)) > F.length("_text"), F.array(F.lit(BUCKETS).cast("long")))
-    rows = rows.withColumn("_tokens", tokens.cast("long"))
-    return rows.withColumn("_b", F.concat(buckets, F.coalesce(doubled, F.array().cast("array<bigint>")))).drop("_words")
+    rows = rows.withColumn("_tokens", F.regexp_count("_text", F.lit(PIECES)).cast("long"))
+    return rows.withColumn("_b", F.concat(buckets, F.coalesce(doubled, F.array().cast("array<bigint>"))))
 
 
 class Classifier:

@@ -432,3 +432,9 @@ def test_one_of_each_keeps_whole_rows(odd):
     assert got.columns == odd.columns
     rows = got.collect()
     assert sorted(r["doc_id"] or -1 for r in rows) == [-1, 1, 5, 6, 8, 9, 10]
+
+
+def test_mixing_words_fold_case_and_signs(spark):
+    rows = spark.createDataFrame([(t,) for t in ("idiot", "IDIOT!!", "idiot###", "(Idiot)")], "_text string")
+    got = mixing._featured(rows).selectExpr("array_contains(_b, xxhash64('idiot') & 65535L) AS x").collect()
+    assert all(r["x"] for r in got)
