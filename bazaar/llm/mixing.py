@@ -41,6 +41,7 @@ SAMPLE = 10_000
 RARE = 2500  # a bucket takes part if one in so many labelled documents has it, and two at least
 PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 30  # strength of the penalty, the part of it on absolute weights, iterations
 STEPS, SETTLED = 60, 1e-7
+LEAST = 0.5  # no limit of a posterior is lower
 
 #: Domain of a labelled row.
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' WHEN quality = 1 THEN 'good' END"
@@ -85,13 +86,21 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"], F.xxhash64(docs["text"]).alias("_hash"), F.coalesce(docs["text"], F.lit("")).alias("_text"))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
-    """The classifier of a labelled table (doc_id, quality, toxic); None where no document is labelled."""
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (_text, _hash, domain, ...) of at most about ``SAMPLE`` labelled documents."""
     known = labels.select(F.col("doc_id"), F.expr(DOMAIN).alias("domain")).dropna()
     n = known.count()
     part = F.pmod(F.xxhash64(F.lit("mixing"), "doc_id"), F.lit(1_000_000))
     known = known.where(part < round(min(1.0, SAMPLE / max(n, 1)) * 1_000_000)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    rows = stored(_rows(docs).join(F.broadcast(known), "doc_id"))  # at most about SAMPLE labels
+    return stored(_rows(docs).join(F.broadcast(known), "doc_id"))  # at most about SAMPLE labels
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
+    """The classifier of a labelled table (doc_id, quality, toxic); None where no document is labelled."""
+    return _fitted(_labelled(docs, labels))
+
+
+def _fitted(rows: DataFrame) -> Classifier | None:
     counts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = sorted(counts)
     weights = np.zeros((len(domains), BUCKETS + 1))
@@ -161,20 +170,60 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     )
 
 
+def limit_of(p: np.ndarray, member: np.ndarray) -> float:
+    """The posterior over which fewest rows are told wrong: the middle of the widest gap that reaches this."""
+    at = np.unique(np.concatenate([[0.0], p, [1.0]]))
+    below, above = (np.searchsorted(np.sort(p[m]), at[:-1], side="right") for m in (member, ~member))
+    wrong = below + (~member).sum() - above
+    gaps = np.where(wrong == wrong.min(), np.diff(at), 0.0)
+    k = int(gaps.argmax())
+    return float((at[k] + at[k + 1]) / 2)
+
+
+def limits(rows: DataFrame, unwanted: list[str]) -> dict[str, float]:
+    """Posterior over which a document belongs to a domain, by a classifier that has not seen the rows judged.
+
+    One in three texts of the labelled ``rows`` is kept out of the fit.  The limit is ``LEAST`` at least, so what goes is
+    more likely of the domain than not; a domain that is missing on either side gets just that.
+    """
+    part = F.pmod(F.xxhash64(F.lit("limit"), "_hash"), F.lit(3))
+    model = _fitted(rows.where(part > 0))
+    seen = [] if model is None else model.posteriors(rows.where(part == 0)).select("domain", "_p").collect()  # at most about SAMPLE / 3
+    out = {}
+    for d in unwanted:
+        member = np.array([r["domain"] == d for r in seen], bool)
+        known = len(seen) and d in model.domains and member.any() and not member.all()
+        out[d] = limit_of(np.array([r["_p"][model.domains.index(d)] for r in seen]), member) if known else 0.0
+        out[d] = max(LEAST, out[d])
+    return out
+
+
 def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: float = 0.1) -> DataFrame:
     """The input's rows, each as often as its rate says: whole part, and one more with the probability of the rest.
 
-    The draw is by a hash of doc_id and text.  A rate within ``snap`` of a whole number counts as that number.
+    A document of a domain with share 0 goes: its posterior is over a limit calibrated on labelled documents, whatever
+    the rest of the corpus is.  Rates are fitted over the others, whose posteriors are shared out among the domains that
+    stay.  The draw is by a hash of doc_id and text.  A rate within ``snap`` of a whole number counts as that number.
     """
-    model = fit(docs, labels)
+    known = _labelled(docs, labels)
+    model = _fitted(known)
     if model is None:
         return docs
     rows = packed(docs, "doc_id", "text").select(
         ROW, "doc_id", F.xxhash64("text").alias("_hash"), F.coalesce("text", F.lit("")).alias("_text")
     )
+    scored = model.posteriors(rows).drop("_text")
+    gone = [d for d in model.domains if shares.get(d, 0.0) == 0.0]
+    stay = [d for d in model.domains if d not in gone]
+    if gone and stay:
+        p = {d: F.element_at("_p", i + 1) for i, d in enumerate(model.domains)}
+        for d, limit in limits(known, gone).items():
+            scored = scored.where(p[d] <= limit)
+        whole = sum((p[d] for d in stay), F.lit(0.0))
+        scored = scored.withColumn("_p", F.array(*[F.when(whole > 0, p[d] / whole).otherwise(1.0 / len(stay)) for d in stay]))
     # written once with the posteriors: the steps read the narrow columns, the draw reads the rows
-    scored = stored(model.posteriors(rows).drop("_text"))
-    rate = _rate(fit_rates(scored, targets_of(scored, model.domains, None, shares)))
+    scored = stored(scored)
+    rate = _rate(fit_rates(scored, targets_of(scored, stay or gone, None, shares)))
     near = F.when(F.abs(F.col("_rate") - F.round("_rate")) <= snap, F.round("_rate")).otherwise(F.col("_rate"))
     draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "_hash"), F.lit(1 << 30)) / float(1 << 30)
     times = scored.withColumn("_rate", rate).withColumn("_times", F.floor(near + draw).cast("int"))

@@ -434,6 +434,21 @@ def test_one_of_each_keeps_whole_rows(odd):
     assert sorted(r["doc_id"] or -1 for r in rows) == [-1, 1, 5, 6, 8, 9, 10]
 
 
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.6])
+def test_mixing_drops_toxic_documents_whatever_their_share(spark, share):
+    import random
+
+    rng = random.Random(11)
+    plain, bad = [f"word{i}" for i in range(300)], ["Idiot", "MORON", "scum###", "loser!!"]
+    text = lambda toxic: " ".join([rng.choice(plain) for _ in range(40)] + rng.sample(bad, 3 * toxic))
+    known = [(i, i % 4 == 0) for i in range(400)]
+    rest = [(1000 + i, i < round(600 * share)) for i in range(600)]
+    docs = spark.createDataFrame([(i, text(t)) for i, t in known + rest], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 3 % 2, int(t)) for i, t in known], "doc_id long, quality int, toxic int")
+    got = Counter(r["doc_id"] for r in mixing.drawn(docs, labels, {"good": 1.0, "low": 1.0, "toxic": 0.0}).collect())
+    assert got == Counter(i for i, t in known + rest if not t)
+
+
 def test_mixing_words_fold_case_and_signs(spark):
     rows = spark.createDataFrame([(t,) for t in ("idiot", "IDIOT!!", "idiot###", "(Idiot)")], "_text string")
     got = mixing._featured(rows).selectExpr("array_contains(_b, xxhash64('idiot') & 65535L) AS x").collect()
