@@ -83,8 +83,11 @@ def peak_entropy(string: Column, alphabet: str, window: int = WINDOW) -> Column:
     return F.aggregate(moves, begin, step, lambda acc: acc["peak"])
 
 
-def entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of random-looking candidates that no allow-list entry and no base span covers."""
+def entropy_spans(text: Column, base: Column, any_case: bool = False) -> Column:
+    """Spans of random-looking candidates that no allow-list entry and no base span covers.
+
+    With ``any_case`` hexadecimal with capitals that misses the threshold of base-64 is judged as hexadecimal as well.
+    """
     allowed = "^(?:" + "|".join(f"(?:{p})" for p in ALLOW[:-1]) + ")$"
     fresh = F.filter(
         S.apart(S.find(text, CANDIDATE), base),
@@ -97,6 +100,10 @@ def entropy_spans(text: Column, base: Column) -> Column:
         ) & (peak_entropy(F.when(is_hex(hit) if kind == "entropy_hex" else ~is_hex(hit), hit).otherwise(""), ALPHABET[kind]) >= BITS[kind]))
         for k, kind in enumerate(ALPHABET)
     ]
+    if any_case:
+        missed = F.filter(fresh, lambda x: ~is_hex(x["hit"]) & x["hit"].rlike("^[0-9a-fA-F]+$") & (
+            peak_entropy(x["hit"], ALPHABET["entropy_base64"]) < BITS["entropy_base64"]))
+        found.append(S.of_kind(missed, "entropy_hex", len(BASE), lambda hit: peak_entropy(F.lower(hit), ALPHABET["entropy_hex"]) >= BITS["entropy_hex"]))
     return S.together(*found)
 
 
@@ -120,6 +127,6 @@ def without_secrets(docs: DataFrame, mark: str = "<secret>") -> DataFrame:
     """The input's rows with every secret replaced by a mark; n_chars follows, null text stays null."""
     rows = packed(docs, "text").withColumn("_text", F.coalesce(F.col("text"), F.lit("")))
     rows = rows.withColumn("_base", format_spans(F.col("_text")))
-    rows = rows.withColumn("_added", entropy_spans(F.col("_text"), F.col("_base")))
+    rows = rows.withColumn("_added", entropy_spans(F.col("_text"), F.col("_base"), any_case=True))
     clean = S.masked(F.col("text"), S.together(F.col("_base"), F.col("_added")), lambda kind: F.lit(mark))
     return with_text(rows, docs.columns, clean)

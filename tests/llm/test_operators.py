@@ -453,3 +453,12 @@ def test_mixing_words_fold_case_and_signs(spark):
     rows = spark.createDataFrame([(t,) for t in ("idiot", "IDIOT!!", "idiot###", "(Idiot)")], "_text string")
     got = mixing._featured(rows).selectExpr("array_contains(_b, xxhash64('idiot') & 65535L) AS x").collect()
     assert all(r["x"] for r in got)
+
+
+def test_secrets_masks_hex_of_any_case(spark):
+    keys = ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "9F8e7D6c5B4a39281706F5e4D3c2B1a0", "0F1E2D3C4B5A69788796A5B4"]
+    rest = ["123E4567-E89B-12D3-A456-426614174000", "DEADBEEFDEADBEEFDEADBEEF", "A" * 30, "0A" * 15]
+    rows = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys + rest)], "doc_id long, text string")
+    got = by_id(secret_scan.without_secrets(rows))
+    assert [got[i]["text"] for i in range(len(keys))] == ["key <secret> end"] * len(keys)
+    assert [got[len(keys) + i]["text"] for i in range(len(rest))] == [f"key {k} end" for k in rest]
