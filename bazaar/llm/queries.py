@@ -11,6 +11,7 @@ from bazaar.llm import (
     language_id,
     mixing,
     oracles,
+    periodic_runs,
     pieces,
     private_data,
     resharding,
@@ -66,6 +67,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.collapse(periodic_runs.with_planted_runs(documents(spark, sf_dir)))
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing_weights": op2_mixing_weights,
@@ -77,6 +82,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_encoding": op8_piece_encoding,
     "op9_simhash_fingerprints": op9_simhash_fingerprints,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 #: The others rest on XXH64, trained models, a flow or the tokenizer: tests hold them against plain versions.
 ORACLE: dict[str, str] = {
