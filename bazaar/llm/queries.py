@@ -19,6 +19,7 @@ from bazaar.llm import (
     simhash_near,
     simhash_search,
     substring_dedup,
+    toxicity,
 )
 from bazaar.llm.common import documents
 
@@ -71,6 +72,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.collapse(periodic_runs.with_planted_runs(documents(spark, sf_dir)))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), threshold=0.7)
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing_weights": op2_mixing_weights,
@@ -83,6 +88,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_fingerprints": op9_simhash_fingerprints,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_toxicity": op12_toxicity,
 }
 #: The others rest on XXH64, trained models, a flow or the tokenizer: tests hold them against plain versions.
 ORACLE: dict[str, str] = {
