@@ -87,3 +87,29 @@ a AS (SELECT doc_id, COUNT(*) FILTER (r > 2) AS n_entropy, string_agg(concat(kin
 SELECT t.doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex,
        sha256(COALESCE(b.x, '')) AS base_sha256, COALESCE(n_entropy, 0) AS n_entropy, COALESCE(a.x, '') AS spans
 FROM t LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)"""
+
+
+def _phrase_counts(k: int) -> str:
+    words = " || ' ' || ".join(f"ws[i + {j}]" if j else "ws[i]" for j in range(k))
+    return (f"f{k} AS (SELECT lang, {words} AS p, COUNT(*) AS f FROM "
+            f"(SELECT lang, ws, UNNEST(range(1, len(ws) - {k - 2})) AS i FROM pieces WHERE len(ws) >= {k}) u GROUP BY ALL)")
+
+
+PHRASES = r"""
+WITH t AS (SELECT COALESCE(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents WHERE text IS NOT NULL),
+parts AS (SELECT lang, UNNEST(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM parts),
+""" + ",\n".join(_phrase_counts(k) for k in (1, 2, 3)) + r""",
+total AS (SELECT lang, CAST(SUM(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+cuts AS (SELECT c.lang, c.p, c.f AS a, 1 AS k, x.f AS l, y.f AS r FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.p = split_part(c.p, ' ', 1)
+           JOIN f1 y ON y.lang = c.lang AND y.p = split_part(c.p, ' ', 2) WHERE c.f >= 10
+         UNION ALL SELECT c.lang, c.p, c.f, 1, x.f, y.f FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.p = split_part(c.p, ' ', 1)
+           JOIN f2 y ON y.lang = c.lang AND y.p = split_part(c.p, ' ', 2) || ' ' || split_part(c.p, ' ', 3) WHERE c.f >= 10
+         UNION ALL SELECT c.lang, c.p, c.f, 2, x.f, y.f FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.p = split_part(c.p, ' ', 1) || ' ' || split_part(c.p, ' ', 2)
+           JOIN f1 y ON y.lang = c.lang AND y.p = split_part(c.p, ' ', 3) WHERE c.f >= 10),
+scored AS (SELECT *, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+kept AS (SELECT * FROM lowest c WHERE NOT EXISTS (SELECT 1 FROM f3 g WHERE g.lang = c.lang AND g.f >= 10 AND 100 * g.f >= 50 * c.a
+           AND c.p IN (split_part(g.p, ' ', 1) || ' ' || split_part(g.p, ' ', 2), split_part(g.p, ' ', 2) || ' ' || split_part(g.p, ' ', 3))))
+SELECT lang, rank, p AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM
+  (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(p)) AS rank FROM kept) q JOIN total USING (lang) WHERE rank <= 2000"""

@@ -12,6 +12,7 @@ from bazaar.llm import (
     mixing,
     oracles,
     periodic_runs,
+    phrases,
     pieces,
     private_data,
     resharding,
@@ -76,6 +77,10 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), threshold=0.7)
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir), least=10, top=2000, cover=50)
+
+
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing_weights": op2_mixing_weights,
@@ -89,10 +94,12 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_toxicity": op12_toxicity,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 #: The others rest on XXH64, trained models, a flow or the tokenizer: tests hold them against plain versions.
 ORACLE: dict[str, str] = {
     "op1_secret_scan": oracles.SECRETS,
     "op3_substring_dedup": oracles.SUBSTRING,
     "op4_host_quality_rules": oracles.HOST_RULES,
+    "op13_phrase_collocations": oracles.PHRASES,
 }
