@@ -38,8 +38,8 @@ from bazaar.llm.common import stored
 
 UND = "und"
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
-CHUNK = 8 << 20  # bytes of text handled at a time
-SHARD, WAVE = 4 << 20, 64 << 20  # bytes of a shard's phrases, of the arrays that are broadcast at a time
+CHUNK = 4 << 20  # bytes of text handled at a time
+SHARD, WAVE = 2 << 20, 24 << 20  # bytes of a shard's phrases, of the arrays that are broadcast at a time
 BITMAP = 27  # at most so many bits (as a power of two) tell frequent parts
 END, SPACE = 10, 32  # no phrase holds a line feed: it marks where one ends
 KEPT = 1 << 19  # words that a task counts before it hands them on
@@ -189,9 +189,10 @@ def candidates(docs: DataFrame, words: Bitmap, pairs: Bitmap | None, least: int)
 
 # ------------------------------------------------------------------ tries
 
-def double_array(phrases: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """``base`` and ``check`` of sorted distinct phrases; where phrase i ends, base holds i.
+def double_array(phrases: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``base`` and ``check`` of sorted distinct phrases, and the code of each byte; where phrase i ends, base holds i.
 
+    Bytes are coded by how often they begin a branch (0: never), so that the children of a node lie close together.
     Nodes with several children get a stretch of slots of their own; those with one child take slots left over.
     """
     lines = [p + bytes([END]) for p in phrases]
@@ -215,11 +216,16 @@ def double_array(phrases: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         alive = alive[~done]
     # children of a node lie one after another; node 0 is the root
     up, letter = np.concatenate([np.zeros(0, np.int64), *parents]), np.concatenate([np.zeros(0, np.int64), *letters])
+    seen = np.bincount(letter, minlength=256)
+    code = np.zeros(256, np.uint8)
+    order = np.argsort(-seen, kind="stable")[: np.count_nonzero(seen)]
+    code[order] = np.arange(1, len(order) + 1)
+    letter = code[letter].astype(np.int64)
     fresh = np.ones(len(up), bool)
     fresh[1:] = up[1:] != up[:-1]
     first = np.flatnonzero(fresh)
     owner, many = up[first], np.diff(np.append(first, len(up)))
-    low, high = letter[first], letter[first + many - 1]
+    low, high = (f.reduceat(letter, first) if len(first) else letter for f in (np.minimum, np.maximum))
     at = np.zeros(total, np.int64)  # base by node
     wide = many > 1
     span = (high - low + 1)[wide]
@@ -237,32 +243,35 @@ def double_array(phrases: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     check[slot[1:]] = slot[up]
     base[slot] = at
     base[slot[ends]] = np.arange(len(lines))
-    return base, check
+    return base, check, code
 
 
-def walk(data: np.ndarray, starts: np.ndarray, base: np.ndarray, check: np.ndarray) -> Iterator[np.ndarray]:
+def walk(data: np.ndarray, starts: np.ndarray, base: np.ndarray, check: np.ndarray, code: np.ndarray) -> Iterator[np.ndarray]:
     """Numbers of the phrases that begin at ``starts``, level by level."""
-    at, state = starts, np.zeros(len(starts), np.int64)
+    inner = code.copy()
+    inner[END] = 0  # a walk goes on within a piece only
+    codes, gap = inner[data].astype(np.int32), (data == SPACE) | (data == END)
+    at, state = starts, np.zeros(len(starts), np.int32)
     while len(at):
-        byte, row = data[at], base[state]
-        end = np.flatnonzero((byte == SPACE) | (byte == END))
+        row = base[state]
+        end = np.flatnonzero(gap[at])
         if len(end):
-            last = row[end] + END
+            last = row[end] + np.int32(code[END])
             yield base[last[check[last] == state[end]]]
-        step = row + byte
-        on = np.flatnonzero((check[step] == state) & (byte != END))
+        step = row + codes[at]
+        on = np.flatnonzero(check[step] == state)
         at, state = at[on] + 1, step[on]
 
 
-def _count(chunks: Lines, tries: dict[str, list[tuple[int, int, np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
-    counts = {(lang, shard): np.zeros(n, np.int64) for lang, shards in tries.items() for shard, n, _, _ in shards}
+def _count(chunks: Lines, tries: dict[str, list[tuple]]) -> Iterator[pa.RecordBatch]:
+    counts = {(lang, shard): np.zeros(n, np.int64) for lang, shards in tries.items() for shard, n, *_ in shards}
     for lang, data in chunks:
         if lang in tries:
             data = np.frombuffer(data, np.uint8)
             gap = (data == SPACE) | (data == END)
-            starts = np.flatnonzero(~gap & np.append(True, gap[:-1]))
-            for shard, n, base, check in tries[lang]:
-                for found in walk(data, starts, base, check):
+            starts = np.flatnonzero(~gap & np.append(True, gap[:-1])).astype(np.int32)
+            for shard, n, *arrays in tries[lang]:
+                for found in walk(data, starts, *arrays):
                     counts[lang, shard] += np.bincount(found, minlength=n)
     for (lang, shard), seen in counts.items():
         found = np.flatnonzero(seen)
@@ -280,11 +289,11 @@ def count_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("k")
-        base, check = double_array([p.encode() for p in part["phrase"]])
+        base, check, code = double_array([p.encode() for p in part["phrase"]])
         return pd.DataFrame({"lang": part["lang"].iloc[:1], "shard": part["shard"].iloc[:1], "n": len(part), "bytes": base.nbytes + check.nbytes,
-                             "base": [base.tobytes()], "check": [check.tobytes()]})
+                             "base": [base.tobytes()], "check": [check.tobytes()], "code": [code.tobytes()]})
 
-    built = stored(dealt.groupBy("lang", "shard").applyInPandas(build, "lang string, shard int, n int, bytes long, base binary, check binary"))
+    built = stored(dealt.groupBy("lang", "shard").applyInPandas(build, "lang string, shard int, n int, bytes long, base binary, check binary, code binary"))
     waves: list[list] = []
     room = 0
     for row in built.select("lang", "shard", "bytes").orderBy("lang", "shard").collect():  # a row a shard
@@ -298,7 +307,8 @@ def count_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
         chosen = spark.createDataFrame(wave, "lang string, shard int")
         tries = defaultdict(list)
         for r in built.join(F.broadcast(chosen), ["lang", "shard"]).collect():  # at most WAVE bytes
-            tries[r["lang"]].append((r["shard"], r["n"], np.frombuffer(r["base"], np.int32), np.frombuffer(r["check"], np.int32)))
+            arrays = (np.frombuffer(r[c], t) for c, t in (("base", np.int32), ("check", np.int32), ("code", np.uint8)))
+            tries[r["lang"]].append((r["shard"], r["n"], *arrays))
         shared = spark.sparkContext.broadcast(dict(tries))
         counts = _over(docs, lambda chunks, t=shared: _count(chunks, t.value), "lang string, shard int, k int, n long")
         counts = stored(counts.groupBy("lang", "shard", "k").agg(F.sum("n").alias("n")))

@@ -80,18 +80,17 @@ def test_chunks_keep_texts_and_pieces_apart(monkeypatch):
 def test_double_array_accepts_just_its_phrases():
     rnd = random.Random(5)
     known = sorted({" ".join("".join(rnd.choice("abé") for _ in range(rnd.randint(1, 4))) for _ in range(rnd.randint(1, 3))).encode() for _ in range(400)})
-    base, check = phrases.double_array(known)
+    arrays = phrases.double_array(known)
     for _ in range(300):
         text = " ".join("".join(rnd.choice("abé") for _ in range(rnd.randint(1, 4))) for _ in range(12)).encode() + b"\n"
         data = np.frombuffer(text, np.uint8)
         gap = (data == 32) | (data == 10)
         starts = np.flatnonzero(~gap & np.append(True, gap[:-1]))
-        got = Counter(known[i] for part in phrases.walk(data, starts, base, check) for i in part.tolist())
+        got = Counter(known[i] for part in phrases.walk(data, starts, *arrays) for i in part.tolist())
         w = text[:-1].split(b" ")
         want = Counter(b" ".join(w[i : i + k]) for i in range(len(w)) for k in (1, 2, 3) if i + k <= len(w))
         assert got == Counter({p: n for p, n in want.items() if p in set(known)})
-    alone = phrases.double_array([b"x y"])
-    assert len(alone[0]) == len(alone[1])
+    assert list(phrases.walk(np.frombuffer(b"x y\n", np.uint8), np.array([0]), *phrases.double_array([b"x y"])))[-1].tolist() == [0]
 
 
 def test_score_beyond_64_bits(spark):
