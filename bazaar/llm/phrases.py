@@ -67,7 +67,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Lines:
                 size[lang] += len(text)
                 if size[lang] >= CHUNK:
                     yield made(lang)
-                elif size.total() >= 4 * CHUNK:
+                elif size.total() >= 2 * CHUNK:
                     yield made(size.most_common(1)[0][0])
     for lang in list(held):
         yield made(lang)
@@ -83,6 +83,11 @@ def _told(lang: str, columns: dict[str, object]) -> pa.RecordBatch:
     return pa.record_batch({"lang": pa.array([lang] * n, pa.string()), **columns})
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    """Sums of n by lang and phrase.  Tasks send a phrase once a chunk, so rows are summed behind the shuffle only."""
+    return rows.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
 # ------------------------------------------------------------------ words
 
 def _count_words(chunks: Lines) -> Iterator[pa.RecordBatch]:
@@ -102,7 +107,7 @@ def _count_words(chunks: Lines) -> Iterator[pa.RecordBatch]:
 
 def count_words(docs: DataFrame) -> DataFrame:
     """lang, phrase (a word), n: all occurrences."""
-    return _over(docs, _count_words, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return _summed(_over(docs, _count_words, "lang string, phrase string, n long"))
 
 
 # ------------------------------------------------------------------ candidates
@@ -184,7 +189,7 @@ def candidates(docs: DataFrame, words: Bitmap, pairs: Bitmap | None, least: int)
     """lang, phrase: pairs (or with ``pairs`` triples) that occur ``least`` times or more."""
     shared = docs.sparkSession.sparkContext.broadcast((words, pairs))
     votes = _over(docs, lambda chunks: _votes(chunks, *shared.value, least), "lang string, phrase string, n int")
-    return votes.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("lang", "phrase")
+    return _summed(votes).where(F.col("n") >= least).select("lang", "phrase")
 
 
 # ------------------------------------------------------------------ tries
