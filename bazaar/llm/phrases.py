@@ -38,8 +38,8 @@ from bazaar.llm.common import stored
 
 UND = "und"
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
-CHUNK = 4 << 20  # bytes of text handled at a time
-SHARD, WAVE = 2 << 20, 24 << 20  # bytes of a shard's phrases, of the arrays that are broadcast at a time
+CHUNK = 3 << 20  # bytes of text handled at a time
+SHARD, WAVE = 8 << 20, 40 << 20  # bytes of a shard's phrases, of the arrays that are broadcast at a time
 BITMAP = 27  # at most so many bits (as a power of two) tell frequent parts
 END, SPACE = 10, 32  # no phrase holds a line feed: it marks where one ends
 KEPT = 1 << 19  # words that a task counts before it hands them on
@@ -161,8 +161,7 @@ def _votes(chunks: Lines, words: Bitmap, pairs: Bitmap | None, least: int) -> It
     """Phrases of two words that are frequent, or of three whose pairs are, with their occurrences in a chunk."""
     for lang, data in chunks:
         known: dict[bytes, int] = {b"\n": 0}
-        tokens = data.replace(b"\n", b" \n ").split(b" ")
-        x = np.array([known.setdefault(w, len(known)) for w in tokens if w], np.int64)
+        x = np.array([known.setdefault(w, len(known)) for w in data.replace(b"\n", b" \n ").split(b" ") if w], np.int64)
         vocabulary = list(known)
         h = _hash(lang, vocabulary)
         common = words.has(h)
@@ -174,7 +173,11 @@ def _votes(chunks: Lines, words: Bitmap, pairs: Bitmap | None, least: int) -> It
             at = at[pairs.has(_joined(h[x[at]], h[x[at + 1]]))]
             at = at[:-1][at[1:] == at[:-1] + 1]
         size = np.int64(len(vocabulary))
-        key, pair, n = np.unique(x[at] * size + x[at + 1], return_inverse=True, return_counts=True)
+        key = x[at] * size + x[at + 1]
+        if pairs is None:
+            key, n = np.unique(key, return_counts=True)
+        else:
+            key, pair = np.unique(key, return_inverse=True)
         parts = [key // size, key % size]
         if pairs is not None:
             both, n = np.unique(pair * size + x[at + 2], return_counts=True)
