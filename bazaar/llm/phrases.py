@@ -42,6 +42,7 @@ CHUNK = 3 << 20  # bytes of text handled at a time
 SHARD, WAVE = 8 << 20, 40 << 20  # bytes of a shard's phrases, of the arrays that are broadcast at a time
 BITMAP = 27  # at most so many bits (as a power of two) tell frequent parts
 END, SPACE = 10, 32  # no phrase holds a line feed: it marks where one ends
+BLOCK = 4096  # phrases whose counts travel together
 KEPT = 1 << 19  # words that a task counts before it hands them on
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -282,8 +283,22 @@ def _count(chunks: Lines, tries: dict[str, list[tuple]]) -> Iterator[pa.RecordBa
                 for found in walk(data, starts, *arrays):
                     counts[lang, shard] += np.bincount(found, minlength=n)
     for (lang, shard), seen in counts.items():
+        blocks = [(b, seen[b : b + BLOCK]) for b in range(0, len(seen), BLOCK) if seen[b : b + BLOCK].any()]
+        yield _told(lang, {"shard": pa.array([shard] * len(blocks), pa.int32()), "first": pa.array([b for b, _ in blocks], pa.int32()),
+                           "counts": pa.array([c.tobytes() for _, c in blocks], pa.binary())})
+
+
+def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the blocks that share a place; all of a place come to one task, one after another."""
+    held: dict[tuple[str, int, int], np.ndarray] = {}
+    for batch in batches:
+        for lang, shard, first, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            seen = np.frombuffer(counts, np.int64)
+            at = held.setdefault((lang, shard, first), np.zeros(len(seen), np.int64))
+            at += seen
+    for (lang, shard, first), seen in held.items():
         found = np.flatnonzero(seen)
-        yield _told(lang, {"shard": pa.array(np.full(len(found), shard, np.int32)), "k": pa.array(found.astype(np.int32)), "n": pa.array(seen[found])})
+        yield _told(lang, {"shard": pa.array(np.full(len(found), shard, np.int32)), "k": pa.array((found + first).astype(np.int32)), "n": pa.array(seen[found])})
 
 
 def count_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -318,8 +333,9 @@ def count_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
             arrays = (np.frombuffer(r[c], t) for c, t in (("base", np.int32), ("check", np.int32), ("code", np.uint8)))
             tries[r["lang"]].append((r["shard"], r["n"], *arrays))
         shared = spark.sparkContext.broadcast(dict(tries))
-        counts = _over(docs, lambda chunks, t=shared: _count(chunks, t.value), "lang string, shard int, k int, n long")
-        counts = stored(counts.groupBy("lang", "shard", "k").agg(F.sum("n").alias("n")))
+        counts = _over(docs, lambda chunks, t=shared: _count(chunks, t.value), "lang string, shard int, first int, counts binary")
+        # rows are vectors, as many a task as the wave has blocks; a place's blocks are added up as they come
+        counts = stored(counts.repartition("lang", "shard", "first").mapInArrow(_sum_blocks, "lang string, shard int, k int, n long"))
         shared.unpersist()
         out = counts if out is None else out.unionByName(counts)
     if out is None:

@@ -61,6 +61,7 @@ def _noise(seed, n):
 def test_noise_in_many_shards_waves_and_chunks(spark, monkeypatch, seed):
     monkeypatch.setattr(phrases, "SHARD", 300)
     monkeypatch.setattr(phrases, "WAVE", 6000)
+    monkeypatch.setattr(phrases, "BLOCK", 8)
     rows = _noise(seed, 120)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
     assert told(phrases.collocations(docs)) == plain(rows)
