@@ -212,7 +212,9 @@ def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: fl
     rows = packed(docs, "doc_id", "text").select(
         ROW, "doc_id", F.xxhash64("text").alias("_hash"), F.coalesce("text", F.lit("")).alias("_text")
     )
-    scored = model.posteriors(rows).drop("_text")
+    # written once with the posteriors, before anything asks for them: a filter above the scoring would repeat it in
+    # each of its conditions.  The steps read the narrow columns, the draw reads the rows
+    scored = stored(model.posteriors(rows).drop("_text"))
     gone = [d for d in model.domains if shares.get(d, 0.0) == 0.0]
     stay = [d for d in model.domains if d not in gone]
     if gone and stay:
@@ -221,8 +223,6 @@ def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: fl
             scored = scored.where(p[d] <= limit)
         whole = sum((p[d] for d in stay), F.lit(0.0))
         scored = scored.withColumn("_p", F.array(*[F.when(whole > 0, p[d] / whole).otherwise(1.0 / len(stay)) for d in stay]))
-    # written once with the posteriors: the steps read the narrow columns, the draw reads the rows
-    scored = stored(scored)
     rate = _rate(fit_rates(scored, targets_of(scored, stay or gone, None, shares)))
     near = F.when(F.abs(F.col("_rate") - F.round("_rate")) <= snap, F.round("_rate")).otherwise(F.col("_rate"))
     draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "_hash"), F.lit(1 << 30)) / float(1 << 30)
