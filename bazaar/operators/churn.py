@@ -2,11 +2,15 @@
 (M6-M11, M13, M14, F14, D6, D7).
 
 Curves and ranks are computed on distinct scores with running totals over score buckets, so no task sorts all scores.
-Attributions are the change of the log odds when a feature is set to its mean; every row gets them.
+Attributions are Shapley values of the raw score by sampled orders of the features; every row gets them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -93,9 +97,9 @@ def pr_curve(scored: DataFrame, score: str, label: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"))
     vf = running_totals(vf.withColumn("_neg", -F.col("threshold")), [], "_neg", ["n", "pos"])
     hit = F.col("pos_before") + F.col("pos")
-    c = vf.withColumn("precision", hit / (F.col("n_before") + F.col("n"))).withColumn("recall", hit / F.col("pos_total"))
+    c = vf.withColumn("precision", hit / (F.col("n_before") + F.col("n"))).withColumn("recall", F.try_divide(hit, F.col("pos_total")))
     f1 = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + 1e-10)
-    return c.select("threshold", "precision", "recall", f1.alias("f1"), (F.col("pos") / F.col("pos_total")).alias("_step"))
+    return c.select("threshold", "precision", "recall", f1.alias("f1"), F.try_divide("pos", "pos_total").alias("_step"), "n", "pos")
 
 
 def best_threshold(curve: DataFrame) -> DataFrame:
@@ -117,16 +121,19 @@ def confusion(scored: DataFrame, score: str, label: str, threshold: Column | flo
 
 
 def metrics(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """M8: one row: ROC-AUC, average precision, precision / recall / F1 at the best threshold, counts and churn rate."""
+    """M8: one row: ROC-AUC, average precision, precision / recall / F1 at the best threshold, counts and churn rate.
+
+    Without a positive row recall, F1 and average precision are null; with one class only the AUC is.
+    """
     curve = pr_curve(scored, score, label)
     auc = auc_by_group(scored.withColumn("_all", F.lit(1)), "_all", score, label)
     best = curve.agg(F.max(F.struct("f1", -F.col("threshold"), "precision", "recall")).alias("b"),
-                     F.sum(F.col("precision") * F.col("_step")).alias("avg_precision"))
-    row = best.select("avg_precision", F.col("b.f1").alias("f1"), F.col("b.precision").alias("precision"),
-                      F.col("b.recall").alias("recall"), (-F.col("b.col2")).alias("threshold"))
-    return row.join(auc.select("auc", "npos", "nneg")).select(
-        F.col("auc").alias("roc_auc"), "avg_precision", "precision", "recall", "f1", "threshold", "npos", "nneg",
-        (F.col("npos") / (F.col("npos") + F.col("nneg"))).alias("churn_rate"))
+                     F.sum(F.col("precision") * F.col("_step")).alias("avg_precision"),
+                     F.coalesce(F.sum("pos"), F.lit(0)).alias("npos"), F.coalesce(F.sum(F.col("n") - F.col("pos")), F.lit(0)).alias("nneg"))
+    return best.select(
+        auc.select("auc").scalar().alias("roc_auc"), "avg_precision", F.col("b.precision").alias("precision"), F.col("b.recall").alias("recall"),
+        F.col("b.f1").alias("f1"), (-F.col("b.col2")).alias("threshold"), "npos", "nneg",
+        F.try_divide(F.col("npos"), F.col("npos") + F.col("nneg")).alias("churn_rate"))
 
 
 def quality_gate(row: DataFrame, metric: str = "roc_auc", least: float = 0.68) -> DataFrame:
@@ -157,21 +164,89 @@ def feature_by_label(rows: DataFrame, label: str, columns: list[str]) -> DataFra
 
 # ------------------------------------------------------------------ attributions
 
-def contributions(model: GBTClassificationModel, df: DataFrame, key: str) -> DataFrame:
-    """(key, feature, value): how much the log odds change if the feature takes its mean over ``df`` instead."""
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in FEATURES]).first()
-    mean = F.array(*[F.lit(float(means[c] or 0.0)) for c in FEATURES])
+class Trees:
+    """Boosted trees as arrays, to score many rows of numbers in numpy inside tasks."""
+
+    def __init__(self, model: GBTClassificationModel):
+        feature, threshold, left, right, value, roots = [], [], [], [], [], []
+
+        def put(node) -> int:
+            at = len(feature)
+            for column, x in zip((feature, threshold, left, right, value), (-1, 0.0, at, at, float(node.prediction())), strict=True):
+                column.append(x)
+            if node.subtreeDepth() > 0:
+                split = node.split()
+                feature[at], threshold[at] = int(split.featureIndex()), float(split.threshold())
+                left[at], right[at] = put(node.leftChild()), put(node.rightChild())
+            return at
+
+        depth = 0
+        for tree in model.trees:
+            root = tree._java_obj.rootNode()
+            depth = max(depth, int(root.subtreeDepth()))
+            roots.append(put(root))
+        self.feature, self.threshold, self.value = np.array(feature), np.array(threshold), np.array(value)
+        self.left, self.right, self.roots, self.depth = np.array(left), np.array(right), np.array(roots), depth
+        self.weights = np.array(model.treeWeights)
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """The raw score of the positive class (half the log odds) of each row."""
+        at = np.tile(self.roots, (len(x), 1))
+        row = np.arange(len(x))[:, None]
+        for _ in range(self.depth):
+            f = self.feature[at]
+            below = x[row, np.maximum(f, 0)] <= self.threshold[at]
+            at = np.where(f < 0, at, np.where(below, self.left[at], self.right[at]))
+        return (self.value[at] * self.weights).sum(axis=1)
+
+
+def shapley(score: Callable[[np.ndarray], np.ndarray], x: np.ndarray, background: np.ndarray, orders: np.ndarray) -> np.ndarray:
+    """Contributions (rows x features): the change of the score when a feature's value comes in, averaged over the
+    orders, each taken from a background row (in turn) to the row; with every order used for every background row they
+    add up to the row's score less the background's mean score."""
+    n, d = x.shape
+    out = np.zeros((n, d))
+    for z in background:
+        for order in orders:
+            inner = np.broadcast_to(z, (d + 1, n, d)).copy()
+            for k, f in enumerate(order):
+                inner[k + 1 :, :, f] = x[:, f]
+            s = score(inner.reshape(-1, d)).reshape(d + 1, n)
+            out[:, order] += (s[1:] - s[:-1]).T
+    return out / (len(background) * len(orders))
+
+
+def sampled_orders(features: int, pairs: int, seed: int = 42) -> np.ndarray:
+    """Random orders in pairs of an order and its reverse."""
+    rng = np.random.default_rng(seed)
+    forth = [rng.permutation(features) for _ in range(pairs)]
+    return np.array([o for f in forth for o in (f, f[::-1])])
+
+
+BACKGROUND, PAIRS = 8, 4  # background rows, pairs of orders
+
+
+def contributions(model: GBTClassificationModel, df: DataFrame, key: str, background: int = BACKGROUND, pairs: int = PAIRS) -> DataFrame:
+    """(key, feature, value): Shapley values of the raw score (half the log odds), by sampled pairs of orders.
+
+    A row's values add up to its raw score less the mean raw score of the background: ``background`` rows of ``df``, the
+    first by a hash of the key (a bounded sample).  Rows are scored in Arrow batches; the model travels as arrays.
+    """
     x = F.array(*[F.col(c).cast("double") for c in FEATURES])
-    rows = df.select(key, x.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(len(FEATURES)))).alias("j"))
-    # j = number of features: the row as it is
-    changed = F.transform("x", lambda v, i: F.when(i == F.col("j"), F.element_at(mean, i + 1)).otherwise(v))
-    raw = model.transform(rows.select(key, "j", array_to_vector(changed).alias("_x")))
-    raw = raw.select(key, "j", vector_to_array("rawPrediction")[1].alias("raw"))
-    whole = raw.groupBy(key).agg(F.max(F.when(F.col("j") == len(FEATURES), F.col("raw"))).alias("base"),
-                                 F.collect_list(F.struct("j", "raw")).alias("all"))
-    each = whole.select(key, "base", F.explode("all").alias("a")).where(F.col("a.j") < len(FEATURES))
+    rows = df.select(F.col(key), x.alias("x"))
+    few = rows.orderBy(F.xxhash64(key), key).limit(background).collect()
+    if not few:
+        return df.select(key, F.lit("").alias("feature"), F.lit(0.0).alias("value")).where(F.lit(False))
+    base, trees, orders = np.array([r["x"] for r in few], float), Trees(model), sampled_orders(len(FEATURES), pairs)
+
+    @F.pandas_udf("array<double>")
+    def values(batch: pd.Series) -> pd.Series:
+        parts = [shapley(trees.margins, np.array(batch.iloc[i : i + 512].tolist(), float), base, orders) for i in range(0, len(batch), 512)]
+        return pd.Series(list(np.concatenate([*parts, np.zeros((0, len(FEATURES)))])))
+
+    each = rows.select(key, values("x").alias("v")).select(key, F.posexplode("v").alias("j", "value"))
     names = F.array(*map(F.lit, FEATURES))
-    return each.select(key, F.element_at(names, F.col("a.j") + 1).alias("feature"), (F.col("base") - F.col("a.raw")).alias("value"))
+    return each.select(key, F.get(names, F.col("j")).alias("feature"), "value")
 
 
 def mean_attribution(contribs: DataFrame) -> DataFrame:

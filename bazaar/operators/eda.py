@@ -269,7 +269,9 @@ def pareto(fact: DataFrame, share: float = 80.0) -> DataFrame:
     r = p.groupBy((-F.col("rev")).alias("neg")).agg(F.count(F.lit(1)).alias("n"), F.sum("rev").alias("s"))
     r = running_totals(r, [], "neg", ["n", "s"])
     each, whole = -F.col("neg").cast("double"), F.col("s_total").cast("double")
-    fit = F.floor((whole * (share / 100.0) - F.col("s_before").cast("double")) / each)
+    room = whole * (share / 100.0) - F.col("s_before").cast("double")
+    # products without revenue add nothing: all of them fit where there is room left
+    fit = F.when(each == 0, F.when(room >= 0, F.col("n")).otherwise(0)).otherwise(F.floor(F.try_divide(room, each)))
     taken = F.least(F.greatest(fit, F.lit(0)), F.col("n"))
     pp = F.when(taken > 0, (F.col("n_before") + taken) / F.col("n_total") * 100)
     return r.agg(F.coalesce(F.max(pp), F.lit(100.0)).alias("top_pct_products"), F.max("n_total").alias("products"))

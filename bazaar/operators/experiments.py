@@ -119,24 +119,25 @@ def ks_drift(reference: DataFrame, current: DataFrame, feature_key: str, value:
     D = max over values of |F_ref(v) - F_cur(v)|, evaluated on the union of the
     distinct values (value-frequency rows, cumulative counts per feature).
     p-value: Kolmogorov limiting distribution with the Stephens correction,
-    summed over 100 terms.  Drift when p < threshold.
+    summed over 100 terms.  Drift when p < threshold.  A feature without a value on one side has no statistic and has
+    not drifted.
     """
     r = reference.groupBy(feature_key, value).agg(F.count(F.lit(1)).alias("c1")).withColumn("c2", F.lit(0))
     c = current.groupBy(feature_key, value).agg(F.count(F.lit(1)).alias("c2")).withColumn("c1", F.lit(0))
     u = r.unionByName(c).groupBy(feature_key, value).agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
     u = running_totals(u, [feature_key], value, ["c1", "c2"])
-    u = u.select(feature_key, ((F.col("c1_before") + F.col("c1")) / F.col("c1_total")).alias("f1"),
-                 ((F.col("c2_before") + F.col("c2")) / F.col("c2_total")).alias("f2"),
+    u = u.select(feature_key, F.try_divide(F.col("c1_before") + F.col("c1"), F.col("c1_total")).alias("f1"),
+                 F.try_divide(F.col("c2_before") + F.col("c2"), F.col("c2_total")).alias("f2"),
                  F.col("c1_total").alias("n1"), F.col("c2_total").alias("n2"))
     d = u.groupBy(feature_key).agg(F.max(F.abs(F.col("f1") - F.col("f2"))).alias("ks_stat"),
                                    F.first("n1").alias("n_ref"), F.first("n2").alias("n_cur"))
     ne = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
-    lam = (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(ne)) * F.col("ks_stat")
+    lam = (F.sqrt(ne) + 0.12 + F.try_divide(F.lit(0.11), F.sqrt(ne))) * F.col("ks_stat")
     terms = F.transform(F.sequence(F.lit(1), F.lit(100)),
                         lambda j: F.pow(F.lit(-1.0), j - 1) * F.exp(-2.0 * j * j * lam * lam))
     p = F.least(F.greatest(2 * F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)), F.lit(1.0))
-    out = d.withColumn("p_value", F.when(F.col("ks_stat") == 0, F.lit(1.0)).otherwise(F.round(p, 8)))
-    return out.withColumn("drifted", F.col("p_value") < p_threshold)
+    out = d.withColumn("p_value", F.when(F.col("ks_stat") == 0, F.lit(1.0)).when(F.col("ks_stat") > 0, F.round(p, 8)))
+    return out.withColumn("drifted", F.coalesce(F.col("p_value") < p_threshold, F.lit(False)))
 
 
 def dataset_drift(per_feature: DataFrame, share_threshold: float = 0.5) -> DataFrame:

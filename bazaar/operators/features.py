@@ -151,16 +151,16 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, entity_ts: str
     """
     cols = feature_cols or [c for c in features.columns if c not in (key, feature_ts)]
     f = features.select(F.col(key).alias("_fk"), F.col(feature_ts).alias("_fts"), *cols)
-    e = entities
+    e = entities.groupBy(*entities.columns).agg(F.count(F.lit(1)).alias("_copies"))  # equal rows are looked up once
     width = ttl_days + 1
     bucket = lambda ts: F.floor(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) / width)
     f = f.withColumn("_fb", F.explode(F.array(bucket(F.col("_fts")), bucket(F.col("_fts")) + 1)))
     e = e.withColumn("_eb", bucket(F.col(entity_ts)))
     cond = ((e[key] == f["_fk"]) & (e["_eb"] == f["_fb"]) & (f["_fts"] <= e[entity_ts]) &
             (f["_fts"] >= F.date_sub(F.to_date(e[entity_ts]), ttl_days)))
-    # entity rows must be distinct (e.g. carry their own id): they are the grouping key
     j = e.join(f, cond, "left")
-    best = j.groupBy(*entities.columns).agg(F.max_by(F.struct("_fts", *cols), "_fts").alias("_b"))
+    best = j.groupBy(*entities.columns, "_copies").agg(F.max_by(F.struct("_fts", *cols), "_fts").alias("_b"))
+    best = best.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
     return best.select(*entities.columns, F.col("_b._fts").alias(feature_ts),
                        *[F.col(f"_b.{c}").alias(c) for c in cols])
 

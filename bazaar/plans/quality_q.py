@@ -100,6 +100,8 @@ SPARK = {
     "d14_age_pivot": _ages,
     "x1_column_drift": lambda sp, sf: D.column_drift(
         in_years(_a(sp, sf).fact, 1998, 1998), in_years(_a(sp, sf).fact, 1999, 1999), NUMERIC, CATEGORICAL),
+    "x1_distances": lambda sp, sf: D.column_drift(
+        in_years(_a(sp, sf).fact, 1998, 1998), in_years(_a(sp, sf).fact, 1999, 1999), NUMERIC, CATEGORICAL, "wasserstein", "jensen_shannon"),
     "x4_window_drift": lambda sp, sf: _windows(sp, sf).withColumns({
         "window_start": F.col("window_start").cast("string"), "distance": F.round("distance", 9)}),
     "x5_attribution_drift": _attributions,
@@ -113,6 +115,31 @@ _PROFILE = """
 SELECT '{c}' AS "column", '{t}' AS dtype, COUNT(*) - COUNT({c}) AS nulls, ROUND((COUNT(*) - COUNT({c})) / COUNT(*) * 100, 9) AS null_pct,
        COUNT(DISTINCT {c}) AS n_unique FROM fact_all"""
 
+
+
+def _distances() -> str:
+    """Wasserstein-1 in deviations of the reference, and Jensen-Shannon, of 1999 against 1998."""
+    year = lambda c, y: f"SELECT {c} AS v FROM fact_all WHERE order_year = {y} AND {c} IS NOT NULL"
+    parts = []
+    for c in NUMERIC:
+        d = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""
+SELECT '{c}' AS feature, 'wasserstein' AS test, d / GREATEST(sd, 0.001) AS stat, n_ref, n_cur FROM (
+  SELECT SUM(ABS(fa - fb) * COALESCE(nxt - v, 0)) AS d, MAX(na) AS n_ref, MAX(nb) AS n_cur FROM (
+    SELECT v, LEAD(v) OVER o AS nxt, SUM(a) OVER o / SUM(a) OVER () AS fa, SUM(b) OVER o / SUM(b) OVER () AS fb, SUM(a) OVER () AS na, SUM(b) OVER () AS nb
+    FROM (SELECT v, SUM(a) AS a, SUM(b) AS b FROM (SELECT v, 1 AS a, 0 AS b FROM ({year(d, 1998)}) x UNION ALL SELECT v, 0, 1 FROM ({year(d, 1999)}) y) u GROUP BY v) g
+    WINDOW o AS (ORDER BY v)) w) q, (SELECT stddev_pop(v) AS sd FROM ({year(d, 1998)}) r) s""")
+    for c in CATEGORICAL:
+        parts.append(f"""
+SELECT '{c}' AS feature, 'jensen_shannon' AS test, sqrt(SUM(CASE WHEN p > 0 THEN p * ln(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / m) ELSE 0 END) / 2) AS stat,
+       MAX(na) AS n_ref, MAX(nb) AS n_cur FROM (
+  SELECT a / na AS p, b / nb AS q, (a / na + b / nb) / 2 AS m, na, nb FROM (
+    SELECT a, b, SUM(a) OVER () AS na, SUM(b) OVER () AS nb FROM (
+      SELECT v, SUM(a) AS a, SUM(b) AS b FROM (SELECT v, 1 AS a, 0 AS b FROM ({year(c, 1998)}) x UNION ALL SELECT v, 0, 1 FROM ({year(c, 1999)}) y) u GROUP BY v) g) t) z""")
+    return ("SELECT feature, test, ROUND(stat, 9) AS stat, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_cur AS BIGINT) AS n_cur, stat >= 0.1 AS drifted FROM ("
+            + " UNION ALL ".join(parts) + ") every")
+
+
 _DIRTY = """
 WITH d AS (SELECT concat_ws('-', transaction_id, line_number, product_id, supplier_id) AS transaction_id, customer_id,
                   CASE WHEN delivery_type = 'Same Day' THEN 'on request' ELSE CAST(quantity * 40000 AS VARCHAR) END AS amount,
@@ -213,6 +240,7 @@ SELECT UNNEST(['rows_before', 'rows_after', 'rows_removed', 'nulls_payment_metho
 SELECT event_type, COUNT(CAST(props->>'k' AS INTEGER)) AS n, CAST(SUM(CAST(props->>'k' AS INTEGER)) AS BIGINT) AS total,
        CAST(to_json({'event_type': event_type, 'n': COUNT(CAST(props->>'k' AS INTEGER))}) AS VARCHAR) AS as_json FROM events GROUP BY event_type""",
     "x1_column_drift": star(_ks_columns()),
+    "x1_distances": star(_distances()),
     "x4_window_drift": _window_sql(),
     "x5_attribution_drift": f"""
 WITH b AS (SELECT event_type AS feature, AVG(ABS(value)) AS mean_abs FROM events WHERE ts < TIMESTAMP '{SPLIT_TS}' GROUP BY 1),
