@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from bazaar.session import ensure_checkpoint_dir
 
 ROW = "_row"
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"  # vocabulary file of the registered queries and the pipeline
 #: Words of all operators here: runs of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
 

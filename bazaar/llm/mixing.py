@@ -180,15 +180,13 @@ def limit_of(p: np.ndarray, member: np.ndarray) -> float:
     return float((at[k] + at[k + 1]) / 2)
 
 
-def limits(rows: DataFrame, unwanted: list[str]) -> dict[str, float]:
-    """Posterior over which a document belongs to a domain, by a classifier that has not seen the rows judged.
+def limits(model: Classifier, rows: DataFrame, unwanted: list[str]) -> dict[str, float]:
+    """Posterior over which a document belongs to a domain, from labelled ``rows`` that the classifier has not seen.
 
-    One in three texts of the labelled ``rows`` is kept out of the fit.  The limit is ``LEAST`` at least, so what goes is
-    more likely of the domain than not; a domain that is missing on either side gets just that.
+    The limit is ``LEAST`` at least, so what goes is more likely of the domain than not; a domain that is missing on
+    either side gets just that.
     """
-    part = F.pmod(F.xxhash64(F.lit("limit"), "_hash"), F.lit(3))
-    model = _fitted(rows.where(part > 0))
-    seen = [] if model is None else model.posteriors(rows.where(part == 0)).select("domain", "_p").collect()  # at most about SAMPLE / 3
+    seen = model.posteriors(rows).select("domain", "_p").collect()  # at most about SAMPLE / 3
     out = {}
     for d in unwanted:
         member = np.array([r["domain"] == d for r in seen], bool)
@@ -206,7 +204,8 @@ def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: fl
     stay.  The draw is by a hash of doc_id and text.  A rate within ``snap`` of a whole number counts as that number.
     """
     known = _labelled(docs, labels)
-    model = _fitted(known)
+    part = F.pmod(F.xxhash64(F.lit("limit"), "_hash"), F.lit(3))  # one text in three tells the limits, the others fit
+    model = _fitted(known.where(part > 0)) or _fitted(known)
     if model is None:
         return docs
     rows = packed(docs, "doc_id", "text").select(
@@ -219,7 +218,7 @@ def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: fl
     stay = [d for d in model.domains if d not in gone]
     if gone and stay:
         p = {d: F.element_at("_p", i + 1) for i, d in enumerate(model.domains)}
-        for d, limit in limits(known, gone).items():
+        for d, limit in limits(model, known.where(part == 0), gone).items():
             scored = scored.where(p[d] <= limit)
         whole = sum((p[d] for d in stay), F.lit(0.0))
         scored = scored.withColumn("_p", F.array(*[F.when(whole > 0, p[d] / whole).otherwise(1.0 / len(stay)) for d in stay]))

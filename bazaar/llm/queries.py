@@ -22,10 +22,7 @@ from bazaar.llm import (
     substring_dedup,
     toxicity,
 )
-from bazaar.llm.common import documents
-
-
-TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+from bazaar.llm.common import TOKENIZER, documents
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
