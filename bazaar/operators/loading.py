@@ -7,6 +7,8 @@ row per key.  On files it rewrites only the year partitions that it touches.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,10 +80,7 @@ def load_facts(spark: SparkSession, path: str, sales: DataFrame, keys: list[str]
     n = new.count()
     if not n:
         return 0
-    try:
-        old = spark.read.parquet(path)
-    except AnalysisException:
-        old = None
+    old = _table(spark, path)
     if old is not None:
         moved = old.join(new.select(*keys), keys, "left_semi").select("order_year").distinct()
         touched = [r[0] for r in moved.unionByName(new.select("order_year").distinct()).distinct().collect()]
@@ -93,6 +92,65 @@ def load_facts(spark: SparkSession, path: str, sales: DataFrame, keys: list[str]
     return n
 
 
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table of a path, None where there is none; any other fault is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    return _table(spark, f"{path}/commits")
+
+
+def current_facts(spark: SparkSession, path: str) -> DataFrame | None:
+    """K5: the fact table as of its last commit: of each year the folder that the latest commit names for it.
+
+    None where nothing has been committed; a year without rows is named by no folder.
+    """
+    commits = _commits(spark, path)
+    if commits is None:
+        return None
+    last = commits.groupBy("order_year").agg(F.max_by(F.struct("folder", "rows"), "version").alias("c"))
+    years = last.select("order_year", "c.folder", "c.rows").orderBy("order_year").collect()  # a row a year
+    kept = [r for r in years if r["rows"] > 0]
+    if not kept:
+        return None
+    parts = [spark.read.parquet(f"{path}/data/{r['folder']}/order_year={r['order_year']}").withColumn("order_year", F.lit(r["order_year"])) for r in kept]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def commit_facts(spark: SparkSession, path: str, sales: DataFrame, keys: list[str], order: list[str]) -> int:
+    """K5: the upsert of ``load_facts`` as one transaction; gives the number of rows taken in.
+
+    The years that it touches are written to a new folder; then one small file in ``commits`` names that folder for all of
+    them.  Readers (``current_facts``) see the old table until that file is there and the whole new one from then on, so a
+    run that dies in between changes nothing.  One writer at a time; rows need an ``order_year``.
+    """
+    new = cut(one_per_key(sales, keys, order, last=True))
+    n = new.count()
+    if not n:
+        return 0
+    if new.where(F.col("order_year").isNull()).count():
+        raise ValueError("rows without order_year")
+    old = current_facts(spark, path)
+    years = new.select("order_year").distinct()
+    if old is not None:
+        years = years.unionByName(old.join(new.select(*keys), keys, "left_semi").select("order_year").distinct()).distinct()
+    touched = [r[0] for r in years.collect()]
+    merged = cut(upsert(None if old is None else old.where(F.col("order_year").isin(touched)), new, keys, order))
+    folder = uuid.uuid4().hex
+    merged.write.partitionBy("order_year").parquet(f"{path}/data/{folder}")
+    rows = {r["order_year"]: r["n"] for r in merged.groupBy("order_year").agg(F.count(F.lit(1)).alias("n")).collect()}
+    version = 1 + (commits.agg(F.max("version")).first()[0] if (commits := _commits(spark, path)) is not None else 0)
+    named = [(version, y, folder, rows.get(y, 0)) for y in touched]
+    spark.createDataFrame(named, "version long, order_year int, folder string, rows long").coalesce(1).write.mode("append").parquet(f"{path}/commits")
+    return n
+
+
 def append_run(log: DataFrame, path: str, run_ts: dt.datetime) -> None:
     """K8: one more row of the cleaning log, with the time of its run."""
     log.withColumn("run_timestamp", F.lit(run_ts.strftime("%Y%m%d_%H%M%S"))).coalesce(1).write.mode("append").json(path)

@@ -90,3 +90,23 @@ def test_fact_load_is_idempotent_and_moves_rows(spark, tmp_path):
 def test_upsert_without_a_table_takes_the_last_row(spark):
     rows = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "z", 1)], "k int, v string, at int")
     assert sorted((r["k"], r["v"]) for r in L.upsert(None, rows, ["k"], ["at"]).collect()) == [(1, "y"), (2, "z")]
+
+
+def test_fact_commit_is_one_step(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "committed")
+    commit = lambda rows: L.commit_facts(spark, path, spark.createDataFrame(rows, FACT), ["transaction_id"], ["at"])
+    told = lambda: sorted((r["transaction_id"], r["order_year"], r["amount"]) for r in L.current_facts(spark, path).collect())
+    assert L.current_facts(spark, path) is None and commit([]) == 0
+    assert commit([("a", 2019, 1.0, 1), ("b", 2019, 2.0, 1), ("c", 2020, 3.0, 1)]) == 3
+    before = told()
+    with monkeypatch.context() as m:  # the run dies between the data and the commit
+        m.setattr(spark.__class__, "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            L.commit_facts(spark, path, spark.range(1).selectExpr("'c' AS transaction_id", "2021 AS order_year", "9.0D AS amount", "5 AS at"),
+                           ["transaction_id"], ["at"])
+    assert told() == before
+    for _ in range(2):  # a year may be left empty, and a second time changes nothing
+        assert commit([("c", 2021, 9.0, 5)]) == 1
+        assert told() == [("a", 2019, 1.0), ("b", 2019, 2.0), ("c", 2021, 9.0)]
+    with pytest.raises(ValueError):
+        commit([("d", None, 1.0, 1)])
