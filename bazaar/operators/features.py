@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranks import pct_rank_table
+from ..functions.ranks import pct_rank_tables
 from ..session import cut as lineage_cut
 from ..functions.stats import cut
 
@@ -60,14 +60,14 @@ def rfm_scores(df: DataFrame, recency_mode: str = "reference") -> DataFrame:
     """
     labels = ["1", "2", "3", "4", "5"]
     asc = recency_mode != "reference"
-    # the three rank tables read the same per-customer table; cut its lineage once so
-    # it is computed a single time (reliable checkpoint in the session's checkpoint dir)
+    # ranks and result read the same per-customer table: its lineage is cut, so it is computed once
     base = lineage_cut(df)
+    ranks = {"_pr": ("days_since_last_purchase", asc), "_pf": ("total_orders_all_time", True), "_pm": ("total_spend_all_time", True)}
+    table = pct_rank_tables(base, ranks)
     out = base
-    for col, name, a in [("days_since_last_purchase", "_pr", asc), ("total_orders_all_time", "_pf", True),
-                         ("total_spend_all_time", "_pm", True)]:
-        t = pct_rank_table(base, col, name, ascending=a)
-        out = out.join(t, out[col].cast("double") == t["_v_" + name], "left").drop("_v_" + name)
+    for name, (col, _) in ranks.items():
+        t = table.where(F.col("name") == name).select(F.col("v").alias(f"_v{name}"), F.col("pct").alias(name))
+        out = out.join(t, out[col].cast("double") == t[f"_v{name}"], "left").drop(f"_v{name}")
 
     def bin_(c, rev=False):
         b = F.when(F.col(c) == 0.0, F.lit("1")).otherwise(cut(F.col(c), RFM_EDGES, labels)).cast("int")
