@@ -73,11 +73,11 @@ WITH t AS (SELECT doc_id, COALESCE(text, '') AS t FROM documents),{_spans('asg',
 base AS (SELECT doc_id, s, s + length(hit) AS e, 'assign' AS kind, 0 AS r FROM asg WHERE length(regexp_extract(hit, {_ASSIGN}, 1)) >= 6
          UNION ALL SELECT doc_id, s, s + length(hit), 'access', 1 FROM acc WHERE length(hit) >= 20
          UNION ALL SELECT doc_id, s, s + length(hit), 'hex', 2 FROM hx WHERE length(hit) >= 24),
-fresh AS (SELECT *, regexp_matches(hit, '^[0-9a-f]+$') AS is_hex FROM cand c
+fresh AS (SELECT *, regexp_matches(hit, '^[0-9a-fA-F]+$') AS is_hex FROM cand c
           WHERE NOT regexp_matches(hit, {_ALLOW}) AND len(list_distinct(string_split(hit, ''))) > 1
             AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.s < c.s + length(c.hit) AND b.e > c.s)),
 peak AS (SELECT doc_id, s, hit, is_hex, list_max(list_transform(range(1, length(hit) - {secret_scan.WINDOW - 2}),
-                lambda i: list_aggregate(string_split(substr(hit, i, {secret_scan.WINDOW}), ''), 'entropy'))) AS bits FROM fresh),
+                lambda i: list_aggregate(string_split(substr(CASE WHEN is_hex THEN lower(hit) ELSE hit END, i, {secret_scan.WINDOW}), ''), 'entropy'))) AS bits FROM fresh),
 added AS (SELECT doc_id, s, s + length(hit) AS e, CASE WHEN is_hex THEN 'entropy_hex' ELSE 'entropy_base64' END AS kind,
                  CASE WHEN is_hex THEN 3 ELSE 4 END AS r FROM peak WHERE bits >= CASE WHEN is_hex THEN 3.0 ELSE 3.7 END),
 b AS (SELECT doc_id, COUNT(*) FILTER (kind = 'assign') AS n_assign, COUNT(*) FILTER (kind = 'access') AS n_access, COUNT(*) FILTER (kind = 'hex') AS n_hex,

@@ -3,8 +3,8 @@
 Everything is a native column expression over one scan; nothing is shuffled.
 
 Formats: assignments to secret-like names, access key ids, long hexadecimal runs.  Entropy: candidate strings are runs
-of key characters of at least ``WINDOW`` characters; their class is hexadecimal or base-64; a window of ``WINDOW``
-characters slides over a candidate, the counts of its characters change by the one that enters and the one that
+of key characters of at least ``WINDOW`` characters; their class is hexadecimal (of either case, judged case-folded) or
+base-64; a window of ``WINDOW`` characters slides over a candidate, the counts of its characters change by the one that enters and the one that
 leaves, and so does the sum of n log n from which the entropy follows.  A candidate is a secret if any window reaches
 its class's threshold, unless the allow list knows it (words of letters only, numbers only, UUIDs, paths, one
 character repeated) or a format rule has found it already.
@@ -83,28 +83,22 @@ def peak_entropy(string: Column, alphabet: str, window: int = WINDOW) -> Column:
     return F.aggregate(moves, begin, step, lambda acc: acc["peak"])
 
 
-def entropy_spans(text: Column, base: Column, any_case: bool = False) -> Column:
-    """Spans of random-looking candidates that no allow-list entry and no base span covers.
-
-    With ``any_case`` hexadecimal with capitals that misses the threshold of base-64 is judged as hexadecimal as well.
-    """
+def entropy_spans(text: Column, base: Column) -> Column:
+    """Spans of random-looking candidates that no allow-list entry and no base span covers."""
     allowed = "^(?:" + "|".join(f"(?:{p})" for p in ALLOW[:-1]) + ")$"
     fresh = F.filter(
         S.apart(S.find(text, CANDIDATE), base),
         lambda x: ~x["hit"].rlike(allowed) & ~x["hit"].rlike(f"^{ALLOW[-1]}$"),
     )
-    is_hex = lambda hit: hit.rlike("^[0-9a-f]+$")
-    found = [
-        S.of_kind(fresh, kind, len(BASE) + k, lambda hit, kind=kind: (
-            is_hex(hit) if kind == "entropy_hex" else ~is_hex(hit)
-        ) & (peak_entropy(F.when(is_hex(hit) if kind == "entropy_hex" else ~is_hex(hit), hit).otherwise(""), ALPHABET[kind]) >= BITS[kind]))
-        for k, kind in enumerate(ALPHABET)
-    ]
-    if any_case:
-        missed = F.filter(fresh, lambda x: ~is_hex(x["hit"]) & x["hit"].rlike("^[0-9a-fA-F]+$") & (
-            peak_entropy(x["hit"], ALPHABET["entropy_base64"]) < BITS["entropy_base64"]))
-        found.append(S.of_kind(missed, "entropy_hex", len(BASE), lambda hit: peak_entropy(F.lower(hit), ALPHABET["entropy_hex"]) >= BITS["entropy_hex"]))
-    return S.together(*found)
+    is_hex = lambda hit: hit.rlike("^[0-9a-fA-F]+$")
+
+    def random(kind: str, hit: Column) -> Column:
+        mine, string = (is_hex(hit), F.lower(hit)) if kind == "entropy_hex" else (~is_hex(hit), hit)
+        return mine & (peak_entropy(F.when(mine, string).otherwise(""), ALPHABET[kind]) >= BITS[kind])
+
+    return S.together(*[
+        S.of_kind(fresh, kind, len(BASE) + k, lambda hit, kind=kind: random(kind, hit)) for k, kind in enumerate(ALPHABET)
+    ])
 
 
 def found(docs: DataFrame) -> DataFrame:
@@ -127,6 +121,6 @@ def without_secrets(docs: DataFrame, mark: str = "<secret>") -> DataFrame:
     """The input's rows with every secret replaced by a mark; n_chars follows, null text stays null."""
     rows = packed(docs, "text").withColumn("_text", F.coalesce(F.col("text"), F.lit("")))
     rows = rows.withColumn("_base", format_spans(F.col("_text")))
-    rows = rows.withColumn("_added", entropy_spans(F.col("_text"), F.col("_base"), any_case=True))
+    rows = rows.withColumn("_added", entropy_spans(F.col("_text"), F.col("_base")))
     clean = S.masked(F.col("text"), S.together(F.col("_base"), F.col("_added")), lambda kind: F.lit(mark))
     return with_text(rows, docs.columns, clean)

@@ -69,6 +69,7 @@ def test_secret_entropy_and_allow_list(spark):
     got = by_id(secret_scan.scan(rows))
     assert got[0]["spans"] == f"entropy_base64:4:{4 + len(key)}"
     assert [got[i]["n_entropy"] for i in range(1, 6)] == [0] * 5
+    assert got[6]["spans"] == f"hex:2:{len(hexed)}"  # its lower-case run is a base span, nothing is added over it
     for s, alphabet in ((key, "entropy_base64"), ("0123456789abcdef0011", "entropy_hex")):
         peak = spark.range(1).select(secret_scan.peak_entropy(F.lit(s), secret_scan.ALPHABET[alphabet])).first()[0]
         windows = [s[i : i + 20] for i in range(len(s) - 19)]
@@ -455,6 +456,17 @@ def test_mixing_words_fold_case_and_signs(spark):
     assert all(r["x"] for r in got)
 
 
+def test_random_hex_keys_of_any_case_are_found(spark):
+    import random
+
+    rng = random.Random(5)
+    keys = ["".join(rng.choice(digits) for _ in range(n)) for digits in ("0123456789ABCDEF", "0123456789abcdefABCDEF")
+            for n in (24, 32, 40, 64) for _ in range(25)]
+    rows = spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys)], "doc_id long, text string")
+    found = [r["spans"] == f"entropy_hex:4:{4 + len(keys[r['doc_id']])}" for r in secret_scan.scan(rows).collect()]
+    assert sum(found) >= 0.95 * len(keys)
+
+
 def test_secrets_masks_hex_of_any_case(spark):
     keys = ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "9F8e7D6c5B4a39281706F5e4D3c2B1a0", "0F1E2D3C4B5A69788796A5B4"]
     rest = ["123E4567-E89B-12D3-A456-426614174000", "DEADBEEFDEADBEEFDEADBEEF", "A" * 30, "0A" * 15]
