@@ -116,31 +116,34 @@ def _fitted(rows: DataFrame) -> Classifier | None:
     return Classifier(domains, weights, model.interceptVector.toArray())
 
 
-def _rate(history: list[list[float]]) -> Column:
-    """Rate of a document after the given residuals: each step goes against the gradient and stays at 0 or above."""
+def _rated(members: DataFrame, history: list[list[float]], least: float = 0.0) -> DataFrame:
+    """``members`` with ``_rate`` after the given residuals: each step goes against the gradient and stays at ``least`` or
+    above.  The residuals are one row of data and no literals, so the code of every step is compiled once."""
     if not history:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*map(F.lit, h)) for h in history])
+        return members.withColumn("_rate", F.lit(1.0))
+    steps = members.sparkSession.createDataFrame([(history,)], "g array<array<double>>").scalar()
     dot = lambda g: sum((F.element_at("_p", i + 1) * F.element_at(g, i + 1) for i in range(len(history[0]))), F.lit(0.0))
-    return F.aggregate(steps, F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - dot(g)))
+    rate = F.aggregate("_g", F.lit(1.0), lambda r, g: F.greatest(F.lit(least), r - dot(g)))
+    return members.withColumn("_g", steps).withColumn("_rate", rate).drop("_g")
 
 
-def _tokens_of(members: DataFrame, k: int, rate: Column) -> list[float]:
-    row = members.select((F.col("_tokens") * rate).alias("w"), "_p").agg(
+def _tokens_of(members: DataFrame, k: int) -> list[float]:
+    """Expected tokens by domain of ``members(_tokens, _p, _rate)``."""
+    row = members.select((F.col("_tokens") * F.col("_rate")).alias("w"), "_p").agg(
         *[F.sum(F.col("w") * F.element_at("_p", i + 1)).alias(f"m{i}") for i in range(k)]
     ).first()
     return [x or 0.0 for x in row]
 
 
-def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
+def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, settled: float = SETTLED) -> list[list[float]]:
     """Residuals of the projected-gradient steps over ``members(_tokens, _p)``; ``targets`` are tokens by domain."""
     k = len(targets)
-    have = _tokens_of(members, k, F.lit(1.0))
+    have = _tokens_of(_rated(members, []), k)
     history: list[list[float]] = []
     for _ in range(STEPS):
-        now = _tokens_of(members, k, _rate(history)) if history else have
+        now = _tokens_of(_rated(members, history, least), k) if history else have
         residual = [(m - t) / h if h else 0.0 for m, t, h in zip(now, targets, have, strict=True)]
-        if max(map(abs, residual), default=0.0) < SETTLED or history and max(
+        if max(map(abs, residual), default=0.0) < settled or history and max(
             abs(a - b) for a, b in zip(residual, history[-1], strict=True)
         ) < SETTLED:
             break
@@ -150,7 +153,7 @@ def fit_rates(members: DataFrame, targets: list[float]) -> list[list[float]]:
 
 def targets_of(members: DataFrame, domains: list[str], weights: dict[str, float] | None, shares: dict[str, float] | None) -> list[float]:
     """Target tokens by domain: ``weights`` of a mixture as large as the corpus, or ``shares`` of what each has."""
-    have = _tokens_of(members, len(domains), F.lit(1.0))
+    have = _tokens_of(_rated(members, []), len(domains))
     if shares is not None:
         return [h * shares.get(d, 0.0) for d, h in zip(domains, have, strict=True)]
     whole = sum((weights or {}).values()) or 1.0
@@ -164,9 +167,9 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
         return docs.select("doc_id", F.lit(0).cast("long").alias("tokens"), F.lit(1.0).alias("rate")).where(F.lit(False))
     members = cut(model.posteriors(_rows(docs)).select("doc_id", "_tokens", "_p"))
     history = fit_rates(members, targets_of(members, model.domains, weights, shares))
-    return members.select(
+    return _rated(members, history).select(
         "doc_id", F.col("_tokens").alias("tokens"),
-        *[F.element_at("_p", i + 1).alias(f"p_{d}") for i, d in enumerate(model.domains)], _rate(history).alias("rate"),
+        *[F.element_at("_p", i + 1).alias(f"p_{d}") for i, d in enumerate(model.domains)], F.col("_rate").alias("rate"),
     )
 
 
@@ -196,12 +199,14 @@ def limits(model: Classifier, rows: DataFrame, unwanted: list[str]) -> dict[str,
     return out
 
 
-def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: float = 0.1) -> DataFrame:
+def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: float = 0.1, least: float = 0.0,
+          settled: float = SETTLED) -> DataFrame:
     """The input's rows, each as often as its rate says: whole part, and one more with the probability of the rest.
 
     A document of a domain with share 0 goes: its posterior is over a limit calibrated on labelled documents, whatever
     the rest of the corpus is.  Rates are fitted over the others, whose posteriors are shared out among the domains that
     stay.  The draw is by a hash of doc_id and text.  A rate within ``snap`` of a whole number counts as that number.
+    With ``least`` at 1 no document of a domain that stays is lost: what has to grow is repeated, nothing is thinned.
     """
     known = _labelled(docs, labels)
     part = F.pmod(F.xxhash64(F.lit("limit"), "_hash"), F.lit(3))  # one text in three tells the limits, the others fit
@@ -222,9 +227,9 @@ def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: fl
             scored = scored.where(p[d] <= limit)
         whole = sum((p[d] for d in stay), F.lit(0.0))
         scored = scored.withColumn("_p", F.array(*[F.when(whole > 0, p[d] / whole).otherwise(1.0 / len(stay)) for d in stay]))
-    rate = _rate(fit_rates(scored, targets_of(scored, stay or gone, None, shares)))
+    rated = _rated(scored, fit_rates(scored, targets_of(scored, stay or gone, None, shares), least, settled), least)
     near = F.when(F.abs(F.col("_rate") - F.round("_rate")) <= snap, F.round("_rate")).otherwise(F.col("_rate"))
     draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "_hash"), F.lit(1 << 30)) / float(1 << 30)
-    times = scored.withColumn("_rate", rate).withColumn("_times", F.floor(near + draw).cast("int"))
+    times = rated.withColumn("_times", F.floor(near + draw).cast("int"))
     kept = times.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return unpacked(kept)

@@ -90,7 +90,8 @@ def test_mixing_meets_targets(spark):
     assert len(got) == 200
 
 
-def test_mixing_descent_equals_numpy(spark):
+@pytest.mark.parametrize("least", [0.0, 1.0])
+def test_mixing_descent_equals_numpy(spark, least):
     import numpy as np
 
     rng = np.random.default_rng(3)
@@ -98,13 +99,13 @@ def test_mixing_descent_equals_numpy(spark):
     t = rng.integers(1, 100, 50)
     rows = spark.createDataFrame([(int(n), [float(x) for x in q]) for n, q in zip(t, p, strict=True)], "_tokens long, _p array<double>")
     have = (t[:, None] * p).sum(0)
-    target = (t * rng.uniform(0.3, 2, 50)) @ p  # some rates meet it
-    history = mixing.fit_rates(rows, target.tolist())
-    got = np.array([r[0] for r in rows.select(mixing._rate(history)).collect()])
+    target = (t * rng.uniform(0.3 + 0.7 * least, 2, 50)) @ p  # some rates meet it
+    history = mixing.fit_rates(rows, target.tolist(), least)
+    got = np.array([r["_rate"] for r in mixing._rated(rows, history, least).collect()])
     r = np.ones(50)
     for _ in range(len(history)):
-        r = np.maximum(0, r - p @ (((t * r) @ p - target) / have))
-    assert np.allclose(got, r) and (got >= 0).all()
+        r = np.maximum(least, r - p @ (((t * r) @ p - target) / have))
+    assert np.allclose(got, r) and (got >= least).all()
     assert np.abs((t * got) @ p - target).max() < 1e-4 * have.max()
 
 
