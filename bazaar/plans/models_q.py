@@ -21,6 +21,8 @@ SPARK = {
     "m15_monthly_series": lambda sp, sf: _series(sp, sf).withColumn("month", F.col("month").cast("string")),
     # model outputs: rows-only checks (value parity with the reference's solver is not expected)
     "m16_forecast": lambda sp, sf: FC.forecast(_series(sp, sf)),
+    "m16_trend_changes": lambda sp, sf: FC.trend_changes(_series(sp, sf)),
+    "m17_model_comparison": lambda sp, sf: FC.compare_models(_series(sp, sf)),
     "m17_wmape": lambda sp, sf: FC.wmape(FC.forecast(_series(sp, sf))),
     "d20_next_month_forecast": lambda sp, sf: FC.next_month_summary(FC.forecast(_series(sp, sf))),
 }
