@@ -8,9 +8,12 @@ Attributions are Shapley values of the raw score by sampled orders of the featur
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import asdict, dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -21,6 +24,7 @@ from pyspark.sql.window import Window
 
 from ..functions.ranks import exact_quantiles, running_totals
 from ..functions.stats import equal_width_bin
+from ..session import cut
 from .experiments import auc_by_group
 from .features import churn_dataset
 
@@ -69,17 +73,112 @@ def _vectors(df: DataFrame) -> DataFrame:
     return df.withColumn("_x", array_to_vector(F.array(*[F.col(c).cast("double") for c in FEATURES])))
 
 
+def _training_rows(train: DataFrame, folds: int) -> DataFrame:
+    """Vector, label, weight (both classes count alike) and fold (by a hash of the customer) of every row."""
+    n = train.agg(F.sum(F.col("churned").cast("double")).alias("pos"), F.count(F.lit(1)).alias("n")).first()
+    weight = F.when(F.col("churned") == 1, (n["n"] - (n["pos"] or 0.0)) / max(n["pos"] or 0.0, 1.0)).otherwise(1.0)
+    return _vectors(train).select("_x", F.col("churned").cast("double").alias("_y"), weight.alias("_w"),
+                                  F.pmod(F.xxhash64("customer_id"), F.lit(folds)).cast("int").alias("_fold"))
+
+
 def train_model(train: DataFrame, folds: int = 3, depths: tuple[int, ...] = (3, 5), trees: int = 20) -> GBTClassificationModel:
     """M7: boosted trees; churned rows weigh so that both classes count alike; the depth of the best mean AUC over
     folds (by a hash of the customer) wins.  All rows take part."""
-    n = train.agg(F.sum(F.col("churned").cast("double")).alias("pos"), F.count(F.lit(1)).alias("n")).first()
-    weight = F.when(F.col("churned") == 1, (n["n"] - n["pos"]) / max(n["pos"], 1.0)).otherwise(1.0)
-    rows = _vectors(train).select("_x", F.col("churned").cast("double").alias("_y"), weight.alias("_w"),
-                                  F.pmod(F.xxhash64("customer_id"), F.lit(folds)).cast("int").alias("_fold"))
     gbt = GBTClassifier(featuresCol="_x", labelCol="_y", weightCol="_w", maxIter=trees, seed=42)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).build()
     score = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol="_y", metricName="areaUnderROC")
-    return CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=score, numFolds=folds, foldCol="_fold", seed=42).fit(rows).bestModel
+    return CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=score, numFolds=folds, foldCol="_fold",
+                          seed=42).fit(_training_rows(train, folds)).bestModel
+
+
+@dataclass(frozen=True)
+class Setting:
+    """The seven searched parameters.  A least gain and a least number of rows restrain the leaves, as penalties on a
+    leaf's absolute and squared value do elsewhere."""
+
+    trees: int
+    depth: int
+    rate: float
+    row_share: float
+    column_share: float
+    least_gain: float
+    least_rows: int
+
+    def estimator(self, trees: int) -> GBTClassifier:
+        return GBTClassifier(featuresCol="_x", labelCol="_y", weightCol="_w", maxIter=trees, maxDepth=self.depth, stepSize=self.rate,
+                             subsamplingRate=self.row_share, featureSubsetStrategy=str(self.column_share),
+                             minInfoGain=self.least_gain, minInstancesPerNode=self.least_rows, seed=42)
+
+
+#: Bounds of the search; the learning rate is drawn on a log scale.
+BOUNDS: dict[str, tuple[float, float]] = {
+    "trees": (100, 500), "depth": (3, 8), "rate": (0.01, 0.3), "row_share": (0.6, 1.0), "column_share": (0.6, 1.0),
+    "least_gain": (0.0, 0.01), "least_rows": (1, 50),
+}
+
+
+def draw_settings(n: int, bounds: dict[str, tuple[float, float]] | None = None, seed: int = 42) -> list[Setting]:
+    """``n`` random settings within the bounds (those that are not given are ``BOUNDS``)."""
+    rng = np.random.default_rng(seed)
+    at = {**BOUNDS, **(bounds or {})}
+    whole = lambda k: int(rng.integers(int(at[k][0]), int(at[k][1]) + 1))
+    part = lambda k: round(float(rng.uniform(*at[k])), 4)
+    return [Setting(whole("trees"), whole("depth"), round(float(np.exp(rng.uniform(*np.log(at["rate"])))), 4), part("row_share"),
+                    part("column_share"), part("least_gain"), whole("least_rows")) for _ in range(n)]
+
+
+TRIALS = ("trial int, rung int, trees_used int, trees int, depth int, rate double, row_share double, column_share double, "
+          "least_gain double, least_rows int, fold_auc array<double>, mean_auc double, chosen boolean")
+
+
+@dataclass
+class Search:
+    """The chosen model, its setting, and a table of all trials (one row per setting and rung)."""
+
+    model: GBTClassificationModel
+    setting: Setting
+    trials: DataFrame
+
+
+def search_model(train: DataFrame, settings: list[Setting], folds: int = 3, first: int = 10, parallel: int = 4) -> Search:
+    """M7: random search over seven parameters by successive halving.
+
+    Every setting is judged by its mean AUC over folds (by a hash of the customer, all rows) with ``first`` trees; the
+    better half goes on with twice the trees, until one is left, which is fitted on all rows with all its trees.  A tie
+    goes to the earlier setting.  A fold with one class only has no AUC and is left out of the mean; where no fold has
+    one, the first setting wins.  The rows are stored once; up to ``parallel`` fits run beside each other as Spark jobs.
+    """
+    if not settings:
+        raise ValueError("no setting to search")
+    rows = cut(_training_rows(train, folds))
+    both = {r["_fold"] for r in rows.groupBy("_fold").agg(F.countDistinct("_y").alias("k")).where("k > 1").collect()}
+    score = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol="_y", metricName="areaUnderROC", numBins=0)
+
+    def judged(job: tuple[int, int, int]) -> float | None:
+        i, fold, trees = job
+        if fold not in both:
+            return None
+        model = settings[i].estimator(trees).fit(rows.where(F.col("_fold") != fold).drop("_fold"))
+        return float(score.evaluate(model.transform(rows.where(F.col("_fold") == fold))))
+
+    left, rung, trials = list(range(len(settings))), 0, []
+    while True:
+        trees = {i: min(settings[i].trees, first << rung) for i in left}
+        jobs = [(i, f, trees[i]) for i in left for f in range(folds)]
+        with ThreadPool(min(parallel, len(jobs))) as pool:
+            auc = dict(zip(jobs, pool.map(inheritable_thread_target(rows.sparkSession)(judged), jobs, chunksize=1), strict=True))
+        mean = {}
+        for i in left:
+            got = [auc[i, f, trees[i]] for f in range(folds)]
+            mean[i] = float(np.mean([g for g in got if g is not None])) if any(g is not None for g in got) else None
+            trials.append((i, rung, trees[i], *asdict(settings[i]).values(), got, mean[i]))
+        left = sorted(left, key=lambda i: (-(mean[i] if mean[i] is not None else -1.0), i))[: (len(left) + 1) // 2]
+        rung += 1
+        if len(left) == 1:
+            break
+    best = left[0]
+    table = rows.sparkSession.createDataFrame([(*t, t[0] == best) for t in trials], TRIALS)  # trials, not data
+    return Search(settings[best].estimator(settings[best].trees).fit(rows), settings[best], table)
 
 
 def score_rows(model: GBTClassificationModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
