@@ -2,17 +2,18 @@
 
 Generators with high recall propose overlapping spans (anything around an at sign, dotted numbers, runs of digits with
 separators).  Each candidate has features of its format (length, digits, groups, separators, checks) and context (the
-characters around it, words before it).  Trees are boosted on a bounded sample of documents, whose candidates are
-labelled by whether the base formats hold them whole; they learn what such spans look like, not the formats' exact
-limits.  On sampled documents kept out of the fit, each family's threshold is calibrated: at least ``LEAST``, and no
-lower than what all but ``MISS`` of that family's true spans reach.  Candidates of all documents that reach it are
+characters around it, words before it).  Trees are boosted on the candidates of two texts in three, which are labelled
+by whether the base formats hold them whole; they learn what such spans look like, not the formats' exact limits.
+Candidates with the same features and label are one row with their number as its weight, so the fit reads no more rows
+than there are different ones.  On the other texts, each family's threshold is calibrated: at least ``LEAST``, and no
+lower than what all but ``MISS`` of that family's true spans reach, by exact counts.  Candidates of all documents that reach it are
 selected; base spans always stay, and of overlapping additions the best score wins.
 
 The boosted trees are read back as column expressions, so scoring is part of the one scan over the documents: no
 Python, no shuffle, no join.
 
-Defined results: null text counts as empty; empty text has no spans; with no true or no false candidate in the sample
-there is nothing to learn and nothing is added; repeated rows give one output row each; an empty table gives an empty
+Defined results: null text counts as empty; empty text has no spans; with no true or no false candidate in the texts
+that are fitted there is nothing to learn and nothing is added; repeated rows give one output row each; an empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -25,6 +26,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.functions.ranks import running_totals
 from bazaar.llm import spans as S
 from bazaar.llm.common import cut, packed, with_text
 
@@ -44,7 +46,6 @@ FAMILIES = {
 }
 SOURCES = {"address": ("email",), "dotted": ("ip",), "digits": ("card", "phone")}
 
-SAMPLE_DOCS = 40_000  # documents whose candidates the trees are fitted and calibrated on, at most about
 TREES, DEPTH = 20, 3
 LEAST, MISS = 0.5, 0.05
 NEAR = 24  # characters of context on each side
@@ -139,15 +140,14 @@ def candidates(text: Column) -> Column:
     return F.transform(spans, described)
 
 
-def _sample(docs: DataFrame) -> DataFrame:
-    """Labelled candidates of a bounded sample of documents: kind, x, label, held (for calibration)."""
-    n = docs.count()
-    part = F.pmod(F.xxhash64(F.lit("private"), "text"), F.lit(1_000_000))
-    rows = docs.select("text").where(F.col("text").isNotNull() & (part < round(min(1.0, SAMPLE_DOCS / max(n, 1)) * 1_000_000)))
+def _examples(docs: DataFrame) -> DataFrame:
+    """Labelled candidates of all documents, equal ones as one row: kind, x, label, held (for calibration), n."""
+    rows = docs.select("text").where(F.col("text").isNotNull())
     rows = rows.select(base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("c"), F.pmod(F.xxhash64("text"), F.lit(3)).alias("p"))
     each = rows.select("base", "p", F.explode("c").alias("c"))
     whole = F.exists("base", lambda b: (b["start"] <= F.col("c.start") + 1) & (b["end"] >= F.col("c.end") - 1))
-    return each.select("c.kind", "c.x", whole.cast("double").alias("label"), (F.col("p") == 0).alias("held"))
+    each = each.select("c.kind", "c.x", whole.cast("double").alias("label"), (F.col("p") == 0).alias("held"))
+    return each.groupBy("kind", "x", "label", "held").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _tree(lines: list[str], x: Column) -> Column:
@@ -177,17 +177,18 @@ Judge = tuple[list[tuple[float, list[str]]], dict[str, float]]
 
 
 def fit(docs: DataFrame) -> Judge | None:
-    """Boosted trees and the threshold of each family; None where the sample has only one kind of candidate."""
-    rows = cut(_sample(docs).withColumns({f: F.element_at("x", i + 1) for i, f in enumerate(FEATURES)}))
+    """Boosted trees and the threshold of each family; None where there is only one kind of candidate to learn from."""
+    rows = cut(_examples(docs).withColumns({f: F.element_at("x", i + 1) for i, f in enumerate(FEATURES)}))
     known = rows.where("NOT held")
     if known.select("label").distinct().count() < 2:
         return None
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    fitted = cut(assembler.transform(known).select("features", "label").coalesce(4))
-    trees = _score(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(fitted))
-    held = rows.where("held AND label = 1").groupBy("kind").agg(F.percentile_approx(score(trees, F.col("x")), MISS, 10_000).alias("q"))
-    reach = {r["kind"]: r["q"] for r in held.collect()}
-    # a family without any true span in the sample has no threshold to calibrate, so nothing of it is selected
+    fitted = cut(assembler.transform(known).select("features", "label", F.col("n").cast("double").alias("weight")))
+    trees = _score(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, weightCol="weight", seed=7).fit(fitted))
+    held = rows.where("held AND label = 1").groupBy("kind", score(trees, F.col("x")).alias("q")).agg(F.sum("n").alias("n"))
+    passed = running_totals(held, ["kind"], "q", ["n"]).where(F.col("n_before") + F.col("n") >= MISS * F.col("n_total"))
+    reach = {r["kind"]: r["q"] for r in passed.groupBy("kind").agg(F.min("q").alias("q")).collect()}
+    # a family without any true span in the texts kept out has no threshold to calibrate, so nothing of it is selected
     return trees, {kind: max(LEAST, reach[kind]) for kind in FAMILIES if kind in reach}
 
 
