@@ -5,8 +5,8 @@ several domains in part.  Nonnegative document rates are then fitted by projecte
 expected tokens of each domain, the sum of rate x tokens x posterior, match the targets.
 
 Classifier: multinomial logistic regression with an elastic-net penalty over hashed words (case folded, cut at
-everything but letters and digits) and doubled signs, present or not; it is fitted on at most about ``SAMPLE`` labelled
-documents.  Scoring is part of a scan: a document's score
+everything but letters and digits) and doubled signs, present or not; it is fitted on all labelled documents.  Scoring is
+part of a scan: a document's score
 sums the weights of its buckets, which are read off an array of a fixed size.
 
 Rates: the gradient of a document depends on it only by its posterior and on the corpus by one residual per domain.
@@ -31,13 +31,13 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.functions.ranks import running_totals
 from bazaar.llm.common import ROW, cut, packed, stored, unpacked
 
 PIECES = r"[^\x20\x09-\x0D.,]+"  # counted as tokens
 BREAKS = r"[^\p{L}\p{M}\p{N}]+"  # between the classifier's words
 BUCKETS = 1 << 16
 SIGNS = r"([!#$%&*|?])\1"
-SAMPLE = 10_000
 RARE = 2500  # a bucket takes part if one in so many labelled documents has it, and two at least
 PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 30  # strength of the penalty, the part of it on absolute weights, iterations
 STEPS, SETTLED = 60, 1e-7
@@ -87,12 +87,9 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows (_text, _hash, domain, ...) of at most about ``SAMPLE`` labelled documents."""
+    """The rows (_text, _hash, domain, ...) of all labelled documents."""
     known = labels.select(F.col("doc_id"), F.expr(DOMAIN).alias("domain")).dropna()
-    n = known.count()
-    part = F.pmod(F.xxhash64(F.lit("mixing"), "doc_id"), F.lit(1_000_000))
-    known = known.where(part < round(min(1.0, SAMPLE / max(n, 1)) * 1_000_000)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    return stored(_rows(docs).join(F.broadcast(known), "doc_id"))  # at most about SAMPLE labels
+    return stored(_rows(docs).join(known.groupBy("doc_id").agg(F.min("domain").alias("domain")), "doc_id"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
@@ -111,7 +108,7 @@ def _fitted(rows: DataFrame) -> Classifier | None:
     terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS + 1).fit(seen)
     lr = LogisticRegression(featuresCol="_x", labelCol="_label", family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE,
                             maxIter=ROUNDS, standardization=False)
-    model = lr.fit(terms.transform(seen).select("_x", "_label").coalesce(4))
+    model = lr.fit(terms.transform(seen).select("_x", "_label"))
     weights[:, [int(b) for b in terms.vocabulary]] = model.coefficientMatrix.toArray()
     return Classifier(domains, weights, model.interceptVector.toArray())
 
@@ -173,29 +170,38 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = N
     )
 
 
-def limit_of(p: np.ndarray, member: np.ndarray) -> float:
-    """The posterior over which fewest rows are told wrong: the middle of the widest gap that reaches this."""
-    at = np.unique(np.concatenate([[0.0], p, [1.0]]))
-    below, above = (np.searchsorted(np.sort(p[m]), at[:-1], side="right") for m in (member, ~member))
-    wrong = below + (~member).sum() - above
-    gaps = np.where(wrong == wrong.min(), np.diff(at), 0.0)
-    k = int(gaps.argmax())
-    return float((at[k] + at[k + 1]) / 2)
+def limit_of(scored: DataFrame) -> float:
+    """The posterior over which fewest rows of ``scored(p, member)`` are told wrong: the middle of the widest gap between
+    neighbouring values that reaches this, the lowest of equals.  Exact, by running totals over the distinct values.
+    """
+    ends = scored.sparkSession.createDataFrame([(0.0, None), (1.0, None)], "p double, member boolean")
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    counts = scored.select("p", "member").unionByName(ends).groupBy("p").agg(n(F.col("member")).alias("m"), n(~F.col("member")).alias("o"))
+    at = running_totals(counts, [], "p", ["m", "o"])
+    # a gap starts at one value and ends at the next: told wrong are the members up to its start and the others from its end
+    start = (F.col("m_before") + F.col("m") + F.col("o_total") - F.col("o_before") - F.col("o")).alias("wrong")
+    end = (F.col("m_before") + F.col("o_total") - F.col("o_before")).alias("wrong")
+    sides = at.where("p < 1").select("p", F.lit(0).alias("side"), start).unionByName(at.where("p > 0").select("p", F.lit(1).alias("side"), end))
+    best = sides.where(F.col("wrong") == sides.agg(F.min("wrong")).scalar()).select("side", "p", F.lit(1).alias("k"))
+    # gaps do not overlap, so the first start belongs to the first end
+    gaps = running_totals(best, ["side"], "p", ["k"]).groupBy("k_before").agg(F.min("p").alias("a"), F.max("p").alias("b"))
+    widest = gaps.agg(F.min_by(F.struct("a", "b"), F.struct((F.col("a") - F.col("b")).alias("w"), "a")).alias("g")).first()["g"]
+    return (widest["a"] + widest["b"]) / 2
 
 
 def limits(model: Classifier, rows: DataFrame, unwanted: list[str]) -> dict[str, float]:
-    """Posterior over which a document belongs to a domain, from labelled ``rows`` that the classifier has not seen.
+    """Posterior over which a document belongs to a domain, from all labelled ``rows`` that the classifier has not seen.
 
     The limit is ``LEAST`` at least, so what goes is more likely of the domain than not; a domain that is missing on
     either side gets just that.
     """
-    seen = model.posteriors(rows).select("domain", "_p").collect()  # at most about SAMPLE / 3
+    seen = stored(model.posteriors(rows).select("domain", "_p"))
+    domains = {r["domain"] for r in seen.select("domain").distinct().collect()}
     out = {}
     for d in unwanted:
-        member = np.array([r["domain"] == d for r in seen], bool)
-        known = len(seen) and d in model.domains and member.any() and not member.all()
-        out[d] = limit_of(np.array([r["_p"][model.domains.index(d)] for r in seen]), member) if known else 0.0
-        out[d] = max(LEAST, out[d])
+        known = d in model.domains and d in domains and len(domains) > 1
+        p = F.element_at("_p", model.domains.index(d) + 1).alias("p") if known else None
+        out[d] = max(LEAST, limit_of(seen.select(p, (F.col("domain") == d).alias("member")))) if known else LEAST
     return out
 
 
