@@ -357,7 +357,8 @@ def age_pivot(age_subcategory: DataFrame) -> DataFrame:
 
     ``age_subcategory(customer_age_group, subcategory, revenue_m)`` has a row per pair, so the pivot is small.
     """
-    known = age_subcategory.where(F.col("customer_age_group").isin(*AGE_ORDER))
+    # stored, as the pivot reads its pairs twice: once for the names of the columns
+    known = cut_lineage(age_subcategory.where(F.col("customer_age_group").isin(*AGE_ORDER)))
     wide = known.groupBy("customer_age_group").pivot("subcategory").agg(F.sum("revenue_m")).na.fill(0.0)
     names = [c for c in wide.columns if c != "customer_age_group"]
     order = F.array_position(F.array(*map(F.lit, AGE_ORDER)), F.col("customer_age_group")).cast("int") - 1
