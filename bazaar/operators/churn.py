@@ -325,8 +325,9 @@ def sampled_orders(features: int, pairs: int, seed: int = 42) -> np.ndarray:
 BACKGROUND, PAIRS = 8, 4  # background rows, pairs of orders
 
 
-def contributions(model: GBTClassificationModel, df: DataFrame, key: str, background: int = BACKGROUND, pairs: int = PAIRS) -> DataFrame:
-    """(key, feature, value): Shapley values of the raw score (half the log odds), by sampled pairs of orders.
+def contribution_rows(model: GBTClassificationModel, df: DataFrame, key: str, background: int = BACKGROUND, pairs: int = PAIRS) -> DataFrame:
+    """(key, values): Shapley values of the raw score (half the log odds) in the order of ``FEATURES``, by sampled pairs
+    of orders.
 
     A row's values add up to its raw score less the mean raw score of the background: ``background`` rows of ``df``, the
     first by a hash of the key (a bounded sample).  Rows are scored in Arrow batches; the model travels as arrays.
@@ -335,7 +336,7 @@ def contributions(model: GBTClassificationModel, df: DataFrame, key: str, backgr
     rows = df.select(F.col(key), x.alias("x"))
     few = rows.orderBy(F.xxhash64(key), key).limit(background).collect()
     if not few:
-        return df.select(key, F.lit("").alias("feature"), F.lit(0.0).alias("value")).where(F.lit(False))
+        return df.select(key, F.array(F.lit(0.0)).alias("values")).where(F.lit(False))
     base, trees, orders = np.array([r["x"] for r in few], float), Trees(model), sampled_orders(len(FEATURES), pairs)
 
     @F.pandas_udf("array<double>")
@@ -343,7 +344,12 @@ def contributions(model: GBTClassificationModel, df: DataFrame, key: str, backgr
         parts = [shapley(trees.margins, np.array(batch.iloc[i : i + 512].tolist(), float), base, orders) for i in range(0, len(batch), 512)]
         return pd.Series(list(np.concatenate([*parts, np.zeros((0, len(FEATURES)))])))
 
-    each = rows.select(key, values("x").alias("v")).select(key, F.posexplode("v").alias("j", "value"))
+    return rows.select(key, values("x").alias("values"))
+
+
+def contributions(model: GBTClassificationModel, df: DataFrame, key: str, background: int = BACKGROUND, pairs: int = PAIRS) -> DataFrame:
+    """(key, feature, value): ``contribution_rows``, a row per feature."""
+    each = contribution_rows(model, df, key, background, pairs).select(key, F.posexplode("values").alias("j", "value"))
     names = F.array(*map(F.lit, FEATURES))
     return each.select(key, F.get(names, F.col("j")).alias("feature"), "value")
 
@@ -353,8 +359,21 @@ def mean_attribution(contribs: DataFrame) -> DataFrame:
     return contribs.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"), F.count(F.lit(1)).alias("n"))
 
 
-def top_contributions(contribs: DataFrame, key: str, k: int = 10) -> DataFrame:
-    """Each row's contributions by absolute value, the first k."""
-    ranked = contribs.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.struct((-F.abs("value")).alias("o"), F.col("feature").alias("feature"), F.col("value").alias("value")))).alias("c"))
-    return ranked.select(key, F.transform(F.slice("c", 1, k), lambda c: F.struct(c["feature"].alias("feature"), c["value"].alias("value"))).alias("top"))
+def top_contributions(rows: DataFrame, key: str, k: int = 10) -> DataFrame:
+    """Each key's contributions by absolute value, the first k; equal ones by name.
+
+    ``rows`` is ``contribution_rows`` (key, values) or ``contributions`` (key, feature, value).  Arrays are grouped as they
+    are, without names: a row per key is shuffled, not one per feature.
+    """
+    if "values" in rows.columns:
+        names = sorted(FEATURES)
+        place = F.array(*[F.lit(names.index(f)) for f in FEATURES])
+        told = lambda v: F.transform(v, lambda x, i: F.struct((-F.abs(x)).alias("o"), F.get(place, i).alias("feature"), x.alias("value")))
+        ranked = rows.groupBy(key).agg(F.collect_list("values").alias("v")).select(
+            key, F.array_sort(F.flatten(F.transform("v", told))).alias("c"))
+        name = lambda f: F.get(F.array(*map(F.lit, names)), f)
+    else:
+        ranked = rows.groupBy(key).agg(F.array_sort(F.collect_list(
+            F.struct((-F.abs("value")).alias("o"), F.col("feature").alias("feature"), F.col("value").alias("value")))).alias("c"))
+        name = lambda f: f
+    return ranked.select(key, F.transform(F.slice("c", 1, k), lambda c: F.struct(name(c["feature"]).alias("feature"), c["value"].alias("value"))).alias("top"))

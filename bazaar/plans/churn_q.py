@@ -53,9 +53,9 @@ def _model_scores(sp, sf) -> DataFrame:
     return C.score_rows(found.model, rows.where("split = 'test'"))
 
 
-def _contributions(sp, sf) -> DataFrame:
+def _contributions(sp, sf, of=C.contributions) -> DataFrame:
     rows, found = _found(sp, sf)
-    return C.contributions(found.model, rows.where("split = 'test'"), "customer_id")
+    return of(found.model, rows.where("split = 'test'"), "customer_id")
 
 
 METRICS = ["roc_auc", "avg_precision", "precision", "recall", "f1", "threshold", "churn_rate"]
@@ -77,7 +77,7 @@ SPARK = {
     "m7_search_trials": lambda sp, sf: _found(sp, sf)[1].trials,
     "m13_churn_scores": _model_scores,
     "m11_mean_attribution": lambda sp, sf: C.mean_attribution(_contributions(sp, sf)),
-    "m14_top_contributions": lambda sp, sf: C.top_contributions(_contributions(sp, sf), "customer_id"),
+    "m14_top_contributions": lambda sp, sf: C.top_contributions(_contributions(sp, sf, C.contribution_rows), "customer_id"),
 }
 
 
