@@ -20,11 +20,17 @@ cut is deterministic.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.aggs import count_if, dmean, dsum
+from ..session import cut
 from ..sources.star import in_years
 
 def _returned():
@@ -231,54 +237,75 @@ def popular_subcategories(fact: DataFrame, products: DataFrame, limit: int = 15)
     )
 
 
-def copurchase_matrix(fact: DataFrame, products: DataFrame, k: int = 8, bucket_width: int = 1024) -> DataFrame:
+def _pairs_below(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Of (basket, item, idx) sorted by basket and item: (part, basket, a, b, n) with the pairs of a smaller item of a and
+    a larger one of b (no basket), and the lines of each a in the partition's first and last basket (no b), which may go
+    on in other partitions.  A batch is counted at once; what is kept between batches has k numbers.
+    """
+    pairs, edges, first = np.zeros((k, k), np.int64), {}, None
+    basket, item = None, None  # the last line seen
+    held, same = np.zeros(k, np.int64), np.zeros(k, np.int64)  # its basket's lines so far, those of its item among them
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        of, what, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+        n = len(of)
+        first = of[0] if first is None else first
+        seen = np.zeros((n + 1, k), np.int64)
+        seen[1:] = np.cumsum(kind[:, None] == np.arange(k), axis=0)
+        new_basket = np.concatenate([[basket is None or of[0] != basket], of[1:] != of[:-1]])
+        new_item = new_basket | np.concatenate([[item is None or what[0] != item], what[1:] != what[:-1]])
+        start = lambda new: np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        below = seen[start(new_item)] - seen[start(new_basket)]
+        below[np.cumsum(new_basket) == 0] += held
+        below[np.cumsum(new_item) == 0] -= same
+        for b in range(k):
+            pairs[:, b] += below[kind == b].sum(axis=0)
+        for name in {first, of[-1]}:
+            edges[name] = edges.get(name, 0) + np.bincount(kind[of == name], minlength=k)
+        held = seen[n] - seen[start(new_basket)[-1]] + (0 if new_basket.any() else held)
+        same = seen[n] - seen[start(new_item)[-1]] + (0 if new_item.any() else same)
+        basket, item = of[-1], what[-1]
+        edges = {name: lines for name, lines in edges.items() if name in (first, basket)}
+    part = TaskContext.get().partitionId()
+    rows = [(part, None, a, b, int(pairs[a, b])) for a in range(k) for b in range(k) if pairs[a, b]]
+    rows += [(part, int(name), a, None, int(lines[a])) for name, lines in edges.items() for a in range(k) if lines[a]]
+    yield pa.RecordBatch.from_pylist([dict(zip(PAIRS.names, r, strict=True)) for r in rows], PAIRS)
+
+
+PAIRS = pa.schema([("part", pa.int32()), ("basket", pa.int64()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
+
+
+def copurchase_matrix(fact: DataFrame, products: DataFrame, k: int = 8) -> DataFrame:
     """Q-COPURCH: pair counts of top-k subcategories bought in the same basket.
 
     Semantics: for lines x, y of one basket with ``product_id(x) < product_id(y)``
     and both subcategories in the top-k by line count, count (sub(x), sub(y));
     the result is that table plus its mirror (UNION ALL).
 
-    No pairs are materialised.  For each basket line x and each top-k
-    subcategory b we need ``S_b(x)`` = lines of b in the basket with a larger
-    product id; then ``count(a, b) = sum over lines x of sub a of S_b(x)``.
-    Rows are first reduced to distinct (basket, product) with a line count, and
-    the suffix sums are computed in two levels so that a huge basket is split:
-    within (basket, product-id bucket) by a window, and across buckets of the
-    same basket by a window over bucket totals (one row per bucket).  Work is
-    linear in the number of lines times k.
+    No pairs are materialised.  Narrow lines (basket, product, place in the top-k) are sorted in ranges of basket and
+    product, so a huge basket is split over partitions, and each partition is counted in one streaming pass that keeps
+    k x k numbers.  Pairs of a basket whose lines lie in several partitions come from the number of lines of its first
+    and last basket that each partition adds.  Work is linear in the number of lines times k.
     """
-    # the k names with their place; they stay in the plan, so nothing runs while it is built
     top = (
         fact.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
         .join(products.select("product_id", "subcategory").where(F.col("subcategory").isNotNull()), "product_id")
         .groupBy("subcategory").agg(F.sum("_n").alias("_n"))
         .orderBy(F.desc("_n"), "subcategory").limit(k)
     )
-    top = top.select("subcategory", (F.row_number().over(Window.orderBy(F.desc("_n"), "subcategory")) - 1).alias("idx"))
+    # the k names with their place are stored, as lines and names read them
+    top = cut(top.select("subcategory", (F.row_number().over(Window.orderBy(F.desc("_n"), "subcategory")) - 1).alias("idx")))
     wanted = products.select("product_id", "subcategory").join(F.broadcast(top), "subcategory").select("product_id", "idx")
-    lines = (
-        fact.select("transaction_id", "product_id").join(wanted, "product_id")
-        .groupBy("transaction_id", "product_id", "idx").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", F.floor(F.col("product_id") / bucket_width))
-    )
-    lines = lines.select("*", *[F.when(F.col("idx") == i, F.col("n")).otherwise(F.lit(0)).cast("bigint").alias(f"c{i}") for i in range(k)])
-    cnames = [f"c{i}" for i in range(k)]
-    # level 1: within (basket, bucket), lines with a larger product id (strictly)
-    w_in = (Window.partitionBy("transaction_id", "bucket").orderBy(F.desc("product_id"))
-            .rangeBetween(Window.unboundedPreceding, -1))
-    # level 2: bucket totals, suffix over later buckets of the same basket
-    btot = lines.groupBy("transaction_id", "bucket").agg(*[F.sum(c).alias(f"t{c}") for c in cnames])
-    w_b = (Window.partitionBy("transaction_id").orderBy(F.desc("bucket"))
-           .rowsBetween(Window.unboundedPreceding, -1))
-    bsuf = btot.select("transaction_id", "bucket",
-                       *[F.coalesce(F.sum(f"t{c}").over(w_b), F.lit(0)).alias(f"b{c}") for c in cnames])
-    suf = lines.select("transaction_id", "bucket", "idx", "n",
-                       *[F.coalesce(F.sum(c).over(w_in), F.lit(0)).alias(f"s{c}") for c in cnames])
-    suf = suf.join(bsuf, ["transaction_id", "bucket"])
-    per_a = suf.groupBy("idx").agg(
-        *[F.sum(F.col("n") * (F.col(f"s{c}") + F.col(f"b{c}"))).alias(c) for c in cnames]
-    )
-    counts = per_a.selectExpr("idx AS a", f"stack({k}, " + ", ".join(f"{i}, c{i}" for i in range(k)) + ") AS (b, co_count)")
+    lines = fact.select("transaction_id", "product_id").join(wanted, "product_id").where(F.col("transaction_id").isNotNull())
+    ranged = lines.repartitionByRange("transaction_id", "product_id").sortWithinPartitions("transaction_id", "product_id")
+    parts = cut(ranged.select(F.col("transaction_id").cast("bigint"), F.col("product_id").cast("bigint"), F.col("idx").cast("int")).mapInArrow(
+        lambda batches: _pairs_below(batches, k), "part int, basket bigint, a int, b int, n bigint"))
+    edges = parts.where("b IS NULL")
+    later = edges.select(F.col("basket").alias("_basket"), F.col("part").alias("_part"), F.col("a").alias("_b"), F.col("n").alias("_n"))
+    across = edges.join(later, (F.col("basket") == F.col("_basket")) & (F.col("part") < F.col("_part"))).select(
+        "a", F.col("_b").alias("b"), (F.col("n") * F.col("_n")).alias("n"))
+    counts = parts.where("b IS NOT NULL").select("a", "b", "n").unionByName(across).groupBy("a", "b").agg(F.sum("n").alias("co_count"))
     names = lambda col, name: F.broadcast(top.select(F.col("idx").alias(col), F.col("subcategory").alias(name)))
     pairs = counts.where(F.col("co_count") > 0).join(names("a", "cat_a"), "a").join(names("b", "cat_b"), "b")
     both = F.explode(F.array(F.struct("cat_a", "cat_b"), F.struct(F.col("cat_b").alias("cat_a"), F.col("cat_a").alias("cat_b"))))

@@ -17,3 +17,81 @@ def test_cleaning_stores_parquet_and_only_gaps_meet_the_product_medians(spark):
     assert got == {"T1": ("0099-01-02", 4.0, 10.0), "T2": ("2015-03-04", 2.0, 20.0), "T3": ("2015-03-04", 2.0, 20.0),
                    "T4": ("1900-01-01", None, 30.0), "T5": ("2015-03-04", None, 40.0)}
     assert C.clean_sales(raw).count() == 5
+
+
+def test_pairs_of_baskets_that_straddle_batches_and_partitions(spark):
+    import random
+
+    from bazaar.operators import kpis
+
+    rng = random.Random(5)
+    rows = [(t, rng.randrange(1, 40)) for t in range(30) for _ in range(rng.randrange(1, 6))] + [(99, rng.randrange(1, 2000)) for _ in range(1500)]
+    kind = {p: "abcd"[p % 4] for p in range(2000)}
+    fact = spark.createDataFrame(rows, "transaction_id bigint, product_id bigint")
+    products = spark.createDataFrame(list(kind.items()), "product_id bigint, subcategory string")
+    lines: dict[str, int] = {}
+    for _, p in rows:
+        lines[kind[p]] = lines.get(kind[p], 0) + 1
+    top = sorted(lines, key=lambda s: (-lines[s], s))[:3]
+    want: dict[tuple[str, str], int] = {}
+    by: dict[int, list[int]] = {}
+    for t, p in rows:
+        if kind[p] in top:
+            by.setdefault(t, []).append(p)
+    for items in by.values():
+        for x in items:
+            for y in items:
+                if x < y:
+                    want[kind[x], kind[y]] = want.get((kind[x], kind[y]), 0) + 1
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted((r["cat_a"], r["cat_b"], r["co_count"]) for r in kpis.copurchase_matrix(fact, products, 3).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old[0])
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old[1])
+    assert got == sorted([(a, b, n) for (a, b), n in want.items()] + [(b, a, n) for (a, b), n in want.items()])
+    assert not hasattr(kpis.copurchase_matrix, "bucket_width") and "bucket_width" not in kpis.copurchase_matrix.__code__.co_varnames
+
+
+def test_age_pivot_reads_its_pairs_once(spark):
+    from pyspark.sql import functions as F
+
+    from bazaar.operators import eda
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def told(x):
+        seen.add(1)
+        return x
+
+    pairs = spark.createDataFrame([("18-25", "a", 1.0), ("26-35", "b", 2.0)], "customer_age_group string, subcategory string, x double")
+    got = eda.age_pivot(pairs.select("customer_age_group", "subcategory", told(F.col("x") + F.rand() * 0).alias("revenue_m"))).collect()
+    assert len(got) == 4 and seen.value == 2
+
+
+def test_health_joins_facts_once(spark, monkeypatch):
+    from bazaar.plans import derived_q, named
+
+    from .conftest import SF001
+
+    loaded = []
+    for m in (derived_q, named):
+        real = m.load_star
+        monkeypatch.setattr(m, "load_star", lambda *a, real=real, **kw: loaded.append(1) or real(*a, **kw))
+    assert derived_q.SPARK["d5_health"](spark, SF001).count() == 6 and len(loaded) == 1
+
+
+def test_top_contributions_of_arrays_equal_those_of_rows(spark):
+    from pyspark.sql import functions as F
+
+    from bazaar.operators import churn
+
+    rows = spark.createDataFrame([(1, [float((-1) ** i * (i % 4)) for i in range(10)]), (1, [0.5 * i for i in range(10)]), (2, [1.0] * 10), (None, [0.0] * 10)],
+                                 "customer_id int, values array<double>")
+    long = rows.select("customer_id", F.posexplode("values").alias("j", "value")).select("customer_id", F.get(F.array(*map(F.lit, churn.FEATURES)), F.col("j")).alias("feature"), "value")
+    for k in (3, 10):
+        a, b = (sorted(d.collect(), key=str) for d in (churn.top_contributions(rows, "customer_id", k), churn.top_contributions(long, "customer_id", k)))
+        assert a == b and len(a) == 3
