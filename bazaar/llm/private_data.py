@@ -183,7 +183,9 @@ def fit(docs: DataFrame) -> Judge | None:
     if known.select("label").distinct().count() < 2:
         return None
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    fitted = cut(assembler.transform(known).select("features", "label", F.col("n").cast("double").alias("weight")))
+    # partitions follow the rows: each tree is several jobs, and few rows in many tasks are mostly waiting
+    fitted = assembler.transform(known).select("features", "label", F.col("n").cast("double").alias("weight"))
+    fitted = cut(fitted.coalesce(max(4, rows.count() // 50_000)))
     trees = _score(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, weightCol="weight", seed=7).fit(fitted))
     held = rows.where("held AND label = 1").groupBy("kind", score(trees, F.col("x")).alias("q")).agg(F.sum("n").alias("n"))
     passed = running_totals(held, ["kind"], "q", ["n"]).where(F.col("n_before") + F.col("n") >= MISS * F.col("n_total"))
