@@ -108,7 +108,8 @@ def _fitted(rows: DataFrame) -> Classifier | None:
     terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS + 1).fit(seen)
     lr = LogisticRegression(featuresCol="_x", labelCol="_label", family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE,
                             maxIter=ROUNDS, standardization=False)
-    model = lr.fit(terms.transform(seen).select("_x", "_label"))
+    # partitions follow the rows, as each iteration is a job
+    model = lr.fit(terms.transform(seen).select("_x", "_label").coalesce(max(4, sum(counts.values()) // 10_000)))
     weights[:, [int(b) for b in terms.vocabulary]] = model.coefficientMatrix.toArray()
     return Classifier(domains, weights, model.interceptVector.toArray())
 
