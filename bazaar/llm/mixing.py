@@ -34,13 +34,14 @@ from pyspark.sql import functions as F
 from bazaar.functions.ranks import running_totals
 from bazaar.llm.common import ROW, cut, packed, stored, unpacked
 
-PIECES = r"[^\x20\x09-\x0D.,]+"  # counted as tokens
+GAPS = r"[ \t\n\x0B\f\r.,]+"  # between what is counted as tokens
 BREAKS = r"[^\p{L}\p{M}\p{N}]+"  # between the classifier's words
 BUCKETS = 1 << 16
 SIGNS = r"([!#$%&*|?])\1"
 RARE = 2500  # a bucket takes part if one in so many labelled documents has it, and two at least
 PENALTY, SPARSE, ROUNDS = 0.002, 0.9, 30  # strength of the penalty, the part of it on absolute weights, iterations
 STEPS, SETTLED = 60, 1e-7
+FEW = 1000  # so many buckets with a weight are looked for in a document before its weights are added up
 LEAST = 0.5  # no limit of a posterior is lower
 
 #: Domain of a labelled row.
@@ -53,10 +54,16 @@ def _featured(rows: DataFrame) -> DataFrame:
     words = F.split(F.lower("_text"), BREAKS, -1)
     buckets = F.array_distinct(F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1))))
     doubled = F.when(50 * F.regexp_count("_text", F.lit(SIGNS)) > F.length("_text"), F.array(F.lit(BUCKETS).cast("long")))
-    rows = rows.withColumn("_tokens", F.regexp_count("_text", F.lit(PIECES)).cast("long"))
+    rows = rows.withColumn("_tokens", F.size(F.array_remove(F.split("_text", GAPS, -1), "")).cast("long"))
     return rows.withColumn("_b", F.concat(buckets, F.coalesce(doubled, F.array().cast("array<bigint>"))))
 
 
+def _read(rows: DataFrame) -> DataFrame:
+    """``rows(_text, ...)`` with their features in place of the text, stored: texts are taken apart once, for the fit, the
+    limits and the scores."""
+    return stored(_featured(rows).drop("_text").withColumn("_b", F.col("_b").cast("array<int>")))
+
+
 class Classifier:
     """Posteriors over ``domains``: a weight per domain and bucket, and an intercept per domain."""
 
@@ -64,22 +71,27 @@ class Classifier:
         self.domains, self.weights, self.intercepts = domains, weights, intercepts
 
     def posteriors(self, rows: DataFrame) -> DataFrame:
-        """``rows(_text, ...)`` with ``_tokens`` and ``_p``, the posteriors in the order of the domains."""
-        names = rows.columns
+        """``rows(_tokens, _b, ...)`` with ``_p``, the posteriors in the order of the domains, in place of ``_b``."""
+        names = [c for c in rows.columns if c != "_b"]
         # only differences count, so the first domain scores 0; the others' weights are one row of arrays of a fixed
         # size, and a bucket's weight is read off by its place
         k = range(1, len(self.domains))
         if not k:
-            return _featured(rows).select(*names, "_tokens", F.array(F.lit(1.0)).alias("_p"))
-        table = rows.sparkSession.createDataFrame([[(self.weights[i] - self.weights[0]).tolist() for i in k]], ", ".join(f"w{i} array<double>" for i in k))
-        rows = _featured(rows).withColumns({f"_w{i}": table.select(f"w{i}").scalar() for i in k})
+            return rows.select(*names, F.array(F.lit(1.0)).alias("_p"))
+        apart = self.weights - self.weights[0]
+        told = np.flatnonzero(np.any(apart != 0, axis=0)).tolist()
+        table = rows.sparkSession.createDataFrame([[told, *[apart[i].tolist() for i in k]]],
+                                                  ", ".join(["told array<int>", *[f"w{i} array<double>" for i in k]]))
+        if len(told) <= FEW:  # the others add nothing
+            rows = rows.withColumn("_b", F.array_intersect("_b", table.select("told").scalar()))
+        rows = rows.withColumns({f"_w{i}": table.select(f"w{i}").scalar() for i in k})
 
         def score(i: int) -> Column:
             return F.aggregate("_b", F.lit(float(self.intercepts[i] - self.intercepts[0])), lambda a, b: a + F.get(f"_w{i}", b))
 
         rows = rows.withColumn("_s", F.array(F.lit(0.0), *map(score, k))).withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))
         whole = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
-        return rows.select(*names, "_tokens", F.transform("_e", lambda x: x / whole).alias("_p"))
+        return rows.select(*names, F.transform("_e", lambda x: x / whole).alias("_p"))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -87,9 +99,14 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows (_text, _hash, domain, ...) of all labelled documents."""
+    """The rows (_hash, _tokens, _b, domain) of all labelled documents."""
+    return _known(_read(_rows(docs)), labels)
+
+
+def _known(read: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.select(F.col("doc_id"), F.expr(DOMAIN).alias("domain")).dropna()
-    return stored(_rows(docs).join(known.groupBy("doc_id").agg(F.min("domain").alias("domain")), "doc_id"))
+    known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    return stored(read.select("doc_id", "_hash", "_tokens", "_b").join(known, "doc_id").drop("doc_id"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
@@ -104,12 +121,13 @@ def _fitted(rows: DataFrame) -> Classifier | None:
     if len(domains) < 2:
         return Classifier(domains, weights, np.zeros(len(domains))) if domains else None
     label = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("double") - 1
-    seen = stored(_featured(rows).select(label.alias("_label"), F.col("_b").cast("array<string>").alias("_b")))
+    seen = rows.select(label.alias("_label"), F.col("_b").cast("array<string>").alias("_b"))
     terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS + 1).fit(seen)
     lr = LogisticRegression(featuresCol="_x", labelCol="_label", family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE,
                             maxIter=ROUNDS, standardization=False)
-    # partitions follow the rows, as each iteration is a job
-    model = lr.fit(terms.transform(seen).select("_x", "_label").coalesce(max(4, sum(counts.values()) // 10_000)))
+    # the fit reads its rows twice before it keeps them; partitions follow the rows, as each iteration is a job
+    vectors = stored(terms.transform(seen).select("_x", "_label"))
+    model = lr.fit(vectors.coalesce(max(4, sum(counts.values()) // 10_000)))
     weights[:, [int(b) for b in terms.vocabulary]] = model.coefficientMatrix.toArray()
     return Classifier(domains, weights, model.interceptVector.toArray())
 
@@ -160,10 +178,11 @@ def targets_of(members: DataFrame, domains: list[str], weights: dict[str, float]
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] | None = None, shares: dict[str, float] | None = None) -> DataFrame:
     """One row per document: doc_id, tokens, posterior of each domain, rate."""
-    model = fit(docs, labels)
+    read = _read(_rows(docs))
+    model = _fitted(_known(read, labels))
     if model is None:
         return docs.select("doc_id", F.lit(0).cast("long").alias("tokens"), F.lit(1.0).alias("rate")).where(F.lit(False))
-    members = cut(model.posteriors(_rows(docs)).select("doc_id", "_tokens", "_p"))
+    members = cut(model.posteriors(read).select("doc_id", "_tokens", "_p"))
     history = fit_rates(members, targets_of(members, model.domains, weights, shares))
     return _rated(members, history).select(
         "doc_id", F.col("_tokens").alias("tokens"),
@@ -196,7 +215,7 @@ def limits(model: Classifier, rows: DataFrame, unwanted: list[str]) -> dict[str,
     The limit is ``LEAST`` at least, so what goes is more likely of the domain than not; a domain that is missing on
     either side gets just that.
     """
-    seen = stored(model.posteriors(rows).select("domain", "_p"))
+    seen = stored(model.posteriors(rows.select("domain", "_tokens", "_b")).select("domain", "_p"))
     domains = {r["domain"] for r in seen.select("domain").distinct().collect()}
     out = {}
     for d in unwanted:
@@ -215,17 +234,17 @@ def drawn(docs: DataFrame, labels: DataFrame, shares: dict[str, float], snap: fl
     stay.  The draw is by a hash of doc_id and text.  A rate within ``snap`` of a whole number counts as that number.
     With ``least`` at 1 no document of a domain that stays is lost: what has to grow is repeated, nothing is thinned.
     """
-    known = _labelled(docs, labels)
+    read = _read(packed(docs, "doc_id", "text").select(
+        ROW, "doc_id", F.xxhash64("text").alias("_hash"), F.coalesce("text", F.lit("")).alias("_text")
+    ))
+    known = _known(read, labels)
     part = F.pmod(F.xxhash64(F.lit("limit"), "_hash"), F.lit(3))  # one text in three tells the limits, the others fit
     model = _fitted(known.where(part > 0)) or _fitted(known)
     if model is None:
         return docs
-    rows = packed(docs, "doc_id", "text").select(
-        ROW, "doc_id", F.xxhash64("text").alias("_hash"), F.coalesce("text", F.lit("")).alias("_text")
-    )
     # written once with the posteriors, before anything asks for them: a filter above the scoring would repeat it in
     # each of its conditions.  The steps read the narrow columns, the draw reads the rows
-    scored = stored(model.posteriors(rows).drop("_text"))
+    scored = stored(model.posteriors(read))
     gone = [d for d in model.domains if shares.get(d, 0.0) == 0.0]
     stay = [d for d in model.domains if d not in gone]
     if gone and stay:
