@@ -222,8 +222,9 @@ def popular_subcategories(fact: DataFrame, products: DataFrame, limit: int = 15)
     Lines are first reduced to (subcategory, customer, basket), then to (subcategory, customer): a basket has one
     customer, so baskets and customers are counted as rows and no line is expanded for a distinct count.
     """
-    j = fact.select("product_id", "transaction_id", "customer_id", "final_amount_inr").join(
-        products.select("product_id", "subcategory").where(F.col("subcategory").isNotNull()), "product_id")
+    kinds = products.select("product_id", "subcategory").where(F.col("subcategory").isNotNull())
+    # the products of a partition are few, so lines need no sort to meet them, whose memory the groups could not use
+    j = fact.select("product_id", "transaction_id", "customer_id", "final_amount_inr").join(kinds.hint("shuffle_hash"), "product_id")
     baskets = j.groupBy("subcategory", "customer_id", "transaction_id").agg(F.sum("final_amount_inr").alias("_rev"))
     buyers = baskets.groupBy("subcategory", "customer_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rev").alias("_rev"))
     return (
