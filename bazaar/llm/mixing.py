@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from bazaar.functions.ranks import running_totals
 from bazaar.llm.common import ROW, cut, packed, stored, unpacked
@@ -114,21 +115,40 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
     return _fitted(_labelled(docs, labels))
 
 
+def _told(rows: DataFrame, n: int) -> list[int]:
+    """The buckets that take part, of the ``n`` documents ``rows(_b, ...)``."""
+    seen = rows.select(F.explode("_b").alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    return seen.where(F.col("n") >= max(2.0, n // RARE)).agg(F.array_sort(F.collect_list("b"))).first()[0]
+
+
+def _vectors(rows: DataFrame, told: list[int]) -> DataFrame:
+    """``rows(_label, _b)`` as (_x, _label), stored: 1 at the place of each bucket of ``told`` in the document.  The column
+    carries no names of places, which would be as many as the buckets in each plan that the driver keeps."""
+    at = dict(zip(told, range(len(told)), strict=True))
+    table = rows.sparkSession.createDataFrame([[[at.get(b) for b in range(BUCKETS + 1)]]], "at array<int>")
+    rows = rows.withColumn("_at", table.scalar())
+    rows = rows.withColumn("_i", F.array_sort(F.array_compact(F.transform("_b", lambda b: F.get("_at", b)))))
+    sparse = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(max(1, len(told))).alias("size"), F.col("_i").alias("indices"),
+                      F.transform("_i", lambda i: F.lit(1.0)).alias("values"))
+    # a vector is kept as such a struct, so it is read as one without a step in Python
+    return stored(rows.select(sparse.alias("_x"), "_label"), StructType([StructField("_x", VectorUDT()), StructField("_label", DoubleType())]))
+
+
 def _fitted(rows: DataFrame) -> Classifier | None:
     counts = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains = sorted(counts)
     weights = np.zeros((len(domains), BUCKETS + 1))
     if len(domains) < 2:
         return Classifier(domains, weights, np.zeros(len(domains))) if domains else None
+    n = sum(counts.values())
+    told = _told(rows, n)
     label = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")).cast("double") - 1
-    seen = rows.select(label.alias("_label"), F.col("_b").cast("array<string>").alias("_b"))
-    terms = CountVectorizer(inputCol="_b", outputCol="_x", binary=True, minDF=max(2.0, sum(counts.values()) // RARE), vocabSize=BUCKETS + 1).fit(seen)
+    vectors = _vectors(rows.select(label.alias("_label"), "_b"), told)
     lr = LogisticRegression(featuresCol="_x", labelCol="_label", family="multinomial", regParam=PENALTY, elasticNetParam=SPARSE,
                             maxIter=ROUNDS, standardization=False)
     # the fit reads its rows twice before it keeps them; partitions follow the rows, as each iteration is a job
-    vectors = stored(terms.transform(seen).select("_x", "_label"))
-    model = lr.fit(vectors.coalesce(max(4, sum(counts.values()) // 10_000)))
-    weights[:, [int(b) for b in terms.vocabulary]] = model.coefficientMatrix.toArray()
+    model = lr.fit(vectors.coalesce(max(4, n // 10_000)))
+    weights[:, told] = model.coefficientMatrix.toArray()[:, : len(told)]
     return Classifier(domains, weights, model.interceptVector.toArray())
 
 
