@@ -85,10 +85,12 @@ class Classifier:
                                                   ", ".join(["told array<int>", *[f"w{i} array<double>" for i in k]]))
         if len(told) <= FEW:  # the others add nothing
             rows = rows.withColumn("_b", F.array_intersect("_b", table.select("told").scalar()))
+        # each array is named once, so that it is read off where it stands and no row carries a copy
         rows = rows.withColumns({f"_w{i}": table.select(f"w{i}").scalar() for i in k})
+        rows = rows.select(*names, F.transform("_b", lambda b: F.array(*[F.get(f"_w{i}", b) for i in k])).alias("_x"))
 
         def score(i: int) -> Column:
-            return F.aggregate("_b", F.lit(float(self.intercepts[i] - self.intercepts[0])), lambda a, b: a + F.get(f"_w{i}", b))
+            return F.aggregate("_x", F.lit(float(self.intercepts[i] - self.intercepts[0])), lambda a, x: a + F.get(x, F.lit(i - 1)))
 
         rows = rows.withColumn("_s", F.array(F.lit(0.0), *map(score, k))).withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))
         whole = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
@@ -127,7 +129,7 @@ def _vectors(rows: DataFrame, told: list[int]) -> DataFrame:
     at = dict(zip(told, range(len(told)), strict=True))
     table = rows.sparkSession.createDataFrame([[[at.get(b) for b in range(BUCKETS + 1)]]], "at array<int>")
     rows = rows.withColumn("_at", table.scalar())
-    rows = rows.withColumn("_i", F.array_sort(F.array_compact(F.transform("_b", lambda b: F.get("_at", b)))))
+    rows = rows.withColumn("_i", F.sort_array(F.array_compact(F.transform("_b", lambda b: F.get("_at", b)))))
     sparse = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(max(1, len(told))).alias("size"), F.col("_i").alias("indices"),
                       F.transform("_i", lambda i: F.lit(1.0)).alias("values"))
     # a vector is kept as such a struct, so it is read as one without a step in Python

@@ -47,3 +47,11 @@ def test_posteriors_add_up_all_weights(docs, monkeypatch, few):
     for r in got.collect():
         e = np.exp(base + weights[:, rows[r["doc_id"]]].sum(axis=1))
         assert np.allclose(r["_p"], e / e.sum())
+
+
+def test_no_row_carries_the_weights(docs):
+    weights = np.zeros((3, mixing.BUCKETS + 1))
+    weights[1:, :40] = 0.5
+    got = mixing.Classifier(["a", "b", "c"], weights, np.zeros(3)).posteriors(mixing._read(mixing._rows(docs)))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and not re.search(r" AS _w\d", plan)
