@@ -118,9 +118,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier | None:
 
 
 def _told(rows: DataFrame, n: int) -> list[int]:
-    """The buckets that take part, of the ``n`` documents ``rows(_b, ...)``."""
+    """The buckets that take part, of the ``n`` documents ``rows(_b, ...)``.
+
+    Buckets that so few documents hold that no weight is worth its penalty need not be fitted: a document moves the mean
+    loss's gradient by less than 1 / n, and a weight stays 0 where that gradient is within the penalty on absolute weights.
+    So the best weights of these are 0 whatever the labels are, while each step of a fit costs the driver arrays of all
+    buckets and domains.
+    """
     seen = rows.select(F.explode("_b").alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    return seen.where(F.col("n") >= max(2.0, n // RARE)).agg(F.array_sort(F.collect_list("b"))).first()[0]
+    seen = seen.where((F.col("n") >= max(2.0, n // RARE)) & (F.col("n") > PENALTY * SPARSE * n))
+    return seen.agg(F.array_sort(F.collect_list("b"))).first()[0]
 
 
 def _vectors(rows: DataFrame, told: list[int]) -> DataFrame:
