@@ -30,19 +30,22 @@ from bazaar.functions.ranks import running_totals
 from bazaar.llm import spans as S
 from bazaar.llm.common import cut, packed, with_text
 
+# Groups are repeated possessively: what may follow one iteration is never part of it, so no match is lost, and the matcher
+# loops over them.  It would call itself for each iteration of a greedy group, and a run of some thousand numbers would
+# overflow the stack of the task and end the executor.
 # A run of address characters is tried from its first character only (or where the last match ended).
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"
 # A greedy run has 13 digits or more as a whole or not at all, so the lower limit may stand in the pattern.
-CARD = r"[0-9](?:[\x20-]?[0-9]){12,}"
+CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BASE = ("email", "ip", "card", "phone")
 
 #: Families of candidates; an addition carries its family's name.
 FAMILIES = {
     "address": r"(?:\G|(?<![^\s@<>]))[^\s@<>]++\x20?(?:@|\(at\)|\[at\])\x20?[^\s@<>]+",
-    "dotted": r"[0-9]{1,4}(?:[.:][0-9]{1,4}){3,}",
-    "digits": r"[+(]?[0-9](?:[\x20()./-]{0,2}[0-9]){6,}",
+    "dotted": r"[0-9]{1,4}(?:[.:][0-9]{1,4}){3,}+",
+    "digits": r"[+(]?[0-9](?:[\x20()./-]{0,2}[0-9]){6,}+",
 }
 SOURCES = {"address": ("email",), "dotted": ("ip",), "digits": ("card", "phone")}
 
@@ -105,7 +108,7 @@ def features(hit: Column, before: Column, after: Column) -> dict[str, Column]:
         "groups": number(F.size(F.split(F.trim(F.regexp_replace(hit, "[^0-9]+", " ")), " "))),
         "distinct": number(F.size(F.array_distinct(F.split(digits, "")))),
         "luhn": number((F.length(digits) > 0) & luhn(digits)),
-        "domain": number(hit.rlike(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")),
+        "domain": number(hit.rlike(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++$") & hit.rlike(r"\.[A-Za-z]{2,}$")),
         "largest": number(F.coalesce(F.array_max(F.transform(
             F.split(hit, "[^0-9]+"), lambda p: F.when(F.length(p) <= 9, p.try_cast("int")).otherwise(F.lit(999_999_999))
         )), F.lit(0))),
