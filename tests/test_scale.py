@@ -95,3 +95,49 @@ def test_top_contributions_of_arrays_equal_those_of_rows(spark):
     for k in (3, 10):
         a, b = (sorted(d.collect(), key=str) for d in (churn.top_contributions(rows, "customer_id", k), churn.top_contributions(long, "customer_id", k)))
         assert a == b and len(a) == 3
+
+
+def test_cleaning_shuffles_whole_only_rows_that_may_have_a_copy(spark, monkeypatch):
+    """Copies are found whatever their gaps are filled with; the other rows stay where they are."""
+    n = 400
+    rows = [(f"T{k}", "2015-03-04", f"p{k % 5}", None if k % 7 == 0 else str(k % 5), "n/a" if k % 11 == 0 else str(k % 13), "s" if k % 3 else "t") for k in range(n)]
+    rows += [r for k, r in enumerate(rows) if k % 40 == 0] + [(r[0] + "_DUP", *r[1:]) for r in rows[:9]]
+    names = ["transaction_id", "order_date", "product_id", "customer_rating", "original_price_inr", "subcategory"]
+    # rows that are equal only when filled: 5 is the median of the price, 2 the one of the rating
+    twins = [("U", "2015-03-04", "q", r, p, "u") for r in (None, "2") for p in (None, "5")] + [("V", "2015-03-04", "q", "2", p, "u") for p in ("4", "5", "6")]
+    raw = spark.createDataFrame(rows + twins, ", ".join(f"{c} string" for c in names)).repartition(6)
+    moved = []
+    real = C._shared
+    monkeypatch.setattr(C, "_shared", lambda df, h: moved.append(real(df, h)) or moved[-1])
+    got = C.clean_sales(raw)
+    assert moved[0].where("_shared").count() < 2 * (n // 40 + 7)
+    whole = C.parse_stage(raw)
+    want = whole.where("NOT endswith(transaction_id, '_DUP')").select(*names[:2], "customer_rating", "original_price_inr").distinct()
+    assert got.count() == want.count() == n + 4
+    assert got.where("transaction_id = 'U'").select("customer_rating", "original_price_inr").collect() == [(2.0, 5.0)]
+
+
+def test_dirty_extract_is_shuffled_before_anything_is_derived(spark):
+    """The rows that meet orders and products have the tables' columns only."""
+    plan = C.dirty_sales(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    top, *below = plan.toString().split("Join Inner")
+    for derived in ("TXN", "Navratri", "customer_tier", "lpad"):
+        assert derived in top and derived not in "".join(below[:3])
+
+
+def test_intermediates_free_their_shuffles(spark):
+    from pyspark.sql import functions as F
+
+    from bazaar.session import FREES_SHUFFLES, frees_shuffles, stored
+
+    def left():
+        root = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f.getName() for f in (root.getAllFiles().apply(i) for i in range(root.getAllFiles().size())) if f.getName().startswith("shuffle_")}
+
+    table = spark.range(5000).groupBy(F.pmod("id", F.lit(977)).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    before = left()
+    with frees_shuffles(spark):
+        kept = stored(table)
+    new = left() - before
+    assert kept.count() == 977 and not new
+    assert spark.conf.get(FREES_SHUFFLES) == "false"
