@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from bazaar.operators import cleaning as C
 
 
@@ -115,6 +117,11 @@ def test_cleaning_shuffles_whole_only_rows_that_may_have_a_copy(spark, monkeypat
     want = whole.where("NOT endswith(transaction_id, '_DUP')").select(*names[:2], "customer_rating", "original_price_inr").distinct()
     assert got.count() == want.count() == n + 4
     assert got.where("transaction_id = 'U'").select("customer_rating", "original_price_inr").collect() == [(2.0, 5.0)]
+    log = C.cleaning_log(raw).first()
+    assert (log["input_rows"], log["output_rows"], log["duplicates_removed"]) == (len(rows) + 7, n + 4, 9 + n // 40 + 3)
+    # the log's rows hold flags, no second form of a text
+    counted = C._counted(C.parse_values(raw.withColumn("customer_city", F.lit("bombay")).withColumn("delivery_days", F.lit("x"))))
+    assert all(kind == "boolean" for name, kind in counted.dtypes if name.startswith("_"))
 
 
 def test_dirty_extract_is_shuffled_before_anything_is_derived(spark):
