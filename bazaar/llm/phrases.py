@@ -6,11 +6,13 @@ Texts are cut into pieces and words of bytes.  Level by level (words, pairs, tri
    whose parts are in a bitmap of the frequent ones of the level below (hashed, of a bounded size; a false hit only
    costs a vote), each at most ``least`` times a chunk.  Phrases with ``least`` votes are the candidates; none that
    occurs so often is missed.
-2. **Tries.**  Candidates are dealt by hash to shards of about ``SHARD`` bytes.  A task builds the double array of a shard
-   (a phrase's bytes lead from slot to slot: the next slot is ``base[slot] + byte`` and ``check`` there names the slot
-   before).  Shards are broadcast in waves of at most ``WAVE`` bytes (at least one shard), one pass over the texts each.
-3. **Counts.**  All word starts of a chunk walk the trie at once: one numpy step a byte, those without a transition drop
-   out; ends of phrases are counted by ``bincount``, and the tasks' counts are summed by Spark.
+2. **Tries.**  Candidates are dealt by a hash of their first two words to shards of about ``SHARD`` bytes.  A task builds
+   the double array of a shard (a phrase's bytes lead from slot to slot: the next slot is ``base[slot] + byte`` and
+   ``check`` there names the slot before).  Shards are broadcast in waves of at most ``WAVE`` bytes (at least one shard).
+3. **Counts.**  A word start can only begin phrases of the one shard that its two words are dealt to, so it walks that
+   trie only, however many there are.  Starts of a chunk are dealt once; with several waves they are written beside the
+   chunk, a column a wave, and a wave reads its own.  All starts of a shard walk at once: one numpy step a byte, those
+   without a transition drop out; ends of phrases are counted by ``bincount``, and the tasks' counts are summed by Spark.
 
 Scores compare a phrase's count with those of its two parts at the cut that scores lowest; products are exact decimals.
 The ranking takes the first rows of salted parts of each language before those of the language.
@@ -257,31 +259,94 @@ def double_array(phrases: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def walk(data: np.ndarray, starts: np.ndarray, base: np.ndarray, check: np.ndarray, code: np.ndarray) -> Iterator[np.ndarray]:
     """Numbers of the phrases that begin at ``starts``, level by level."""
-    inner = code.copy()
+    inner = code.astype(np.int32)
     inner[END] = 0  # a walk goes on within a piece only
-    codes, gap = inner[data].astype(np.int32), (data == SPACE) | (data == END)
     at, state = starts, np.zeros(len(starts), np.int32)
     while len(at):
-        row = base[state]
-        end = np.flatnonzero(gap[at])
+        row, letter = base[state], data[at]
+        end = np.flatnonzero((letter == SPACE) | (letter == END))
         if len(end):
             last = row[end] + np.int32(code[END])
             yield base[last[check[last] == state[end]]]
-        step = row + codes[at]
+        step = row + inner[letter]
         on = np.flatnonzero(check[step] == state)
         at, state = at[on] + 1, step[on]
 
 
-def _count(chunks: Lines, tries: dict[str, list[tuple]]) -> Iterator[pa.RecordBatch]:
+def _pairs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the words that another word of their piece follows, and a hash of the two.
+
+    A word's hash is one of its first and last eight bytes and its length; it tells where to count, not what is equal.
+    """
+    gap = (data == SPACE) | (data == END)
+    before = np.append(True, gap[:-1])
+    start, end = np.flatnonzero(~gap & before).astype(np.int32), np.flatnonzero(gap & ~before).astype(np.int32)
+    eight = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(8, np.uint8)), 8)
+    size = (end - start).astype(np.uint64)
+    first = eight[start].view("<u8").ravel()
+    short = size < 8
+    first[short] &= (np.uint64(1) << (size[short] * np.uint64(8))) - np.uint64(1)
+    last = np.where(short, first, eight[np.maximum(end - 8, 0)].view("<u8").ravel())
+    word = _joined(first + size, last)
+    two = np.flatnonzero(data[end[:-1]] == SPACE)
+    return start[two], _joined(word[two], word[two + 1]) >> np.uint64(1)
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases with the hash of their first two words."""
+    for b in batches:
+        lines = [p + bytes([END]) for p in b.column(1).cast(pa.binary()).to_pylist()]
+        starts, h = _pairs(np.frombuffer(b"".join(lines), np.uint8))
+        begin = np.cumsum([0, *map(len, lines)])[:-1]
+        yield pa.record_batch({"lang": b.column(0), "phrase": b.column(1), "h": pa.array(h[np.searchsorted(starts, begin)].astype(np.int64))})
+
+
+def _by_shard(data: np.ndarray, shards: int) -> list[np.ndarray]:
+    """The starts that each shard's phrases can begin at."""
+    starts, h = _pairs(data)
+    shard = (h % np.uint64(shards)).astype(np.int32)
+    order = np.argsort(shard, kind="stable")
+    return np.split(starts[order], np.searchsorted(shard[order], np.arange(1, shards)))
+
+
+Wave = dict[str, list[int]]  # shards by language, in order
+
+
+def _placed(chunks: Lines, shards: dict[str, int], waves: list[Wave]) -> Iterator[pa.RecordBatch]:
+    """Chunks with their starts for each wave: how many of each of its shards, then these."""
+    for lang, text in chunks:
+        if lang in shards:
+            starts = _by_shard(np.frombuffer(text, np.uint8), shards[lang])
+            columns = {"text": pa.array([text], pa.binary())}
+            for k, wave in enumerate(waves):
+                own = [starts[s] for s in wave.get(lang, [])]
+                part = np.concatenate([np.array([len(s) for s in own], np.int32), *own])
+                columns[f"w{k}"] = pa.array([part.astype(np.int32).tobytes()], pa.binary())
+            yield _told(lang, columns)
+
+
+def _read(batches: Iterator[pa.RecordBatch], wave: Wave) -> Iterator[tuple[str, np.ndarray, dict[int, np.ndarray]]]:
+    for batch in batches:
+        for lang, text, part in zip(*batch.columns, strict=True):
+            lang = lang.as_py()
+            if lang in wave:
+                part, n = np.frombuffer(part.as_py(), np.int32), len(wave[lang])
+                yield lang, np.frombuffer(text.as_py(), np.uint8), dict(zip(wave[lang], np.split(part[n:], np.cumsum(part[: n - 1])), strict=True))
+
+
+def _direct(chunks: Lines, shards: dict[str, int]) -> Iterator[tuple[str, np.ndarray, dict[int, np.ndarray]]]:
+    for lang, text in chunks:
+        if lang in shards:
+            data = np.frombuffer(text, np.uint8)
+            yield lang, data, dict(enumerate(_by_shard(data, shards[lang])))
+
+
+def _count(located: Iterator[tuple[str, np.ndarray, dict[int, np.ndarray]]], tries: dict[str, list[tuple]]) -> Iterator[pa.RecordBatch]:
     counts = {(lang, shard): np.zeros(n, np.int64) for lang, shards in tries.items() for shard, n, *_ in shards}
-    for lang, data in chunks:
-        if lang in tries:
-            data = np.frombuffer(data, np.uint8)
-            gap = (data == SPACE) | (data == END)
-            starts = np.flatnonzero(~gap & np.append(True, gap[:-1])).astype(np.int32)
-            for shard, n, *arrays in tries[lang]:
-                for found in walk(data, starts, *arrays):
-                    counts[lang, shard] += np.bincount(found, minlength=n)
+    for lang, data, starts in located:
+        for shard, n, *arrays in tries.get(lang, []):
+            for found in walk(data, starts[shard], *arrays):
+                counts[lang, shard] += np.bincount(found, minlength=n)
     for (lang, shard), seen in counts.items():
         blocks = [(b, seen[b : b + BLOCK]) for b in range(0, len(seen), BLOCK) if seen[b : b + BLOCK].any()]
         yield _told(lang, {"shard": pa.array([shard] * len(blocks), pa.int32()), "first": pa.array([b for b, _ in blocks], pa.int32()),
@@ -305,8 +370,11 @@ def count_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
     """lang, phrase, n: all occurrences of the given phrases (lang, phrase; of several words, distinct) in the texts."""
     spark = docs.sparkSession
     size = phrases.groupBy("lang").agg(F.sum(F.octet_length("phrase") + 1).alias("b"))
-    share = phrases.join(F.broadcast(size), "lang")  # a row a language
-    shard = F.pmod(F.xxhash64("phrase"), F.ceil(F.col("b") / SHARD)).cast("int")
+    size = size.select("lang", F.ceil(F.col("b") / SHARD).cast("int").alias("shards"))
+    shards = {r["lang"]: r["shards"] for r in size.collect()}  # a row a language
+    told = phrases.select("lang", "phrase").mapInArrow(_dealt, "lang string, phrase string, h long")
+    share = told.join(F.broadcast(spark.createDataFrame(list(shards.items()), "lang string, shards int")), "lang")
+    shard = F.pmod("h", "shards").cast("int")
     order = Window.partitionBy("lang", "shard").orderBy("phrase")  # about SHARD bytes
     dealt = stored(share.select("lang", "phrase", shard.alias("shard")).withColumn("k", F.row_number().over(order) - 1))
 
@@ -317,23 +385,32 @@ def count_phrases(docs: DataFrame, phrases: DataFrame) -> DataFrame:
                              "base": [base.tobytes()], "check": [check.tobytes()], "code": [code.tobytes()]})
 
     built = stored(dealt.groupBy("lang", "shard").applyInPandas(build, "lang string, shard int, n int, bytes long, base binary, check binary, code binary"))
-    waves: list[list] = []
+    waves: list[Wave] = []
     room = 0
     for row in built.select("lang", "shard", "bytes").orderBy("lang", "shard").collect():  # a row a shard
         if row["bytes"] > room:
-            waves.append([])
+            waves.append({})
             room = WAVE
-        waves[-1].append((row["lang"], row["shard"]))
+        waves[-1].setdefault(row["lang"], []).append(row["shard"])
         room -= row["bytes"]
+    kept = None
+    if len(waves) > 1:
+        kinds = ", ".join(f"w{k} binary" for k in range(len(waves)))
+        # rows hold a chunk, so few of them are read at a time
+        kept = stored(_over(docs, lambda chunks: _placed(chunks, shards, waves), f"lang string, text binary, {kinds}"), compression="zstd", **{"parquet.block.size": 4 * CHUNK})
     out = None
-    for wave in waves:
-        chosen = spark.createDataFrame(wave, "lang string, shard int")
+    for k, wave in enumerate(waves):
+        chosen = spark.createDataFrame([(lang, s) for lang, own in wave.items() for s in own], "lang string, shard int")
         tries = defaultdict(list)
         for r in built.join(F.broadcast(chosen), ["lang", "shard"]).collect():  # at most WAVE bytes
             arrays = (np.frombuffer(r[c], t) for c, t in (("base", np.int32), ("check", np.int32), ("code", np.uint8)))
             tries[r["lang"]].append((r["shard"], r["n"], *arrays))
         shared = spark.sparkContext.broadcast(dict(tries))
-        counts = _over(docs, lambda chunks, t=shared: _count(chunks, t.value), "lang string, shard int, first int, counts binary")
+        schema = "lang string, shard int, first int, counts binary"
+        if kept is None:
+            counts = _over(docs, lambda chunks, t=shared: _count(_direct(chunks, shards), t.value), schema)
+        else:
+            counts = kept.select("lang", "text", f"w{k}").mapInArrow(lambda rows, t=shared, w=wave: _count(_read(rows, w), t.value), schema)
         # rows are vectors, as many a task as the wave has blocks; a place's blocks are added up as they come
         counts = stored(counts.repartition("lang", "shard", "first").mapInArrow(_sum_blocks, "lang string, shard int, k int, n long"))
         shared.unpersist()

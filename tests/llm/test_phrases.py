@@ -107,3 +107,32 @@ def test_odd_and_empty(spark, odd, empty):
     assert got == plain([(r["lang"], r["text"]) for r in odd.collect()])
     assert ("en", 1) in {r[:2] for r in got}
     assert phrases.collocations(empty).count() == 0
+
+
+def test_each_start_walks_one_shard_and_texts_are_joined_once(spark, monkeypatch):
+    """However many shards and waves there are, no start is walked twice, and only the first pass reads the texts."""
+    rnd = random.Random(2)
+    words = [f"{rnd.choice('abcdef')}{'x' * (k % 13)}{k}" for k in range(60)]
+    text = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 300))) + rnd.choice([".", "", " "]) for _ in range(40)]
+    data = next(phrases._chunks(iter([phrases.pa.record_batch({"lang": ["en"] * 40, "text": text})])))[1]
+    parts = phrases._by_shard(np.frombuffer(data, np.uint8), 7)
+    piece = [w for line in data.split(b"\n") for w in zip(line.split(b" "), line.split(b" ")[1:])]
+    starts = np.sort(np.concatenate(parts))
+    assert len(parts) == 7 and len(starts) == len(piece) == len(set(starts.tolist()))
+    owner = defaultdict(set)
+    for shard, own in enumerate(parts):
+        for s in own.tolist():
+            owner[tuple(re.split(rb"[ \n]", data[s : s + 60])[:2])].add(shard)
+    assert all(len(v) == 1 for v in owner.values()) and set(owner) == set(piece)
+
+    passes = []
+    real = phrases._over
+    monkeypatch.setattr(phrases, "_over", lambda docs, step, schema: passes.append(schema) or real(docs, step, schema))
+    monkeypatch.setattr(phrases, "SHARD", 12000)
+    monkeypatch.setattr(phrases, "WAVE", 3000)
+    docs = spark.createDataFrame([("en", x) for x in text], "lang string, text string").repartition(3)
+    known = sorted({b" ".join(p).decode() for p in piece})
+    got = phrases.count_phrases(docs, spark.createDataFrame([("en", p) for p in known], "lang string, phrase string"))
+    want = Counter(b" ".join(p).decode() for line in text for p in zip(line.strip(". ").encode().split(b" "), line.strip(". ").encode().split(b" ")[1:]))
+    assert {r["phrase"]: r["n"] for r in got.collect()} == dict(want)
+    assert len(passes) == 1 and "w3 binary" in passes[0]
